@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from shelfwise import vocab
+from shelfwise.functions.rounding import round_to
 
 
 def rating_percent(positive: Column, negative: Column) -> Column:
     total = positive + negative
-    return F.when(total > 0, F.round(positive / total * 100, 2)).otherwise(0.0)
+    return F.when(total > 0, round_to(positive / total * 100, 2)).otherwise(0.0)
 
 
 def price_tier(price: Column, is_free: Column | None = None, cuts: tuple[float, float] = (10, 20)) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from shelfwise import vocab
+from shelfwise.functions.rounding import round_to
 
 
 def strip(c: Column) -> Column:
@@ -33,7 +34,7 @@ def min_ram_gb(c: Column) -> Column:
     low = F.lower(c)
     size = F.regexp_extract(low, pattern, 1).try_cast("double")
     in_mb = F.regexp_extract(low, pattern, 2) == "mb"
-    return F.coalesce(F.when(in_mb, F.round(size / 1024, 2)).otherwise(size), F.lit(0.0))
+    return F.coalesce(F.when(in_mb, round_to(size / 1024, 2)).otherwise(size), F.lit(0.0))
 
 
 def language_count(c: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from shelfwise import vocab
 from shelfwise.functions.features import clip
+from shelfwise.functions.rounding import round_to
 
 CLASSES = tuple(vocab.LABEL_NAMES.values())
 
@@ -29,14 +30,14 @@ def argmax_class(probs: Column, names: Sequence[str] = CLASSES) -> Column:
 
 def shift_to_flop(probs: Column, factor: Column) -> Column:
     """Hit mass times ``factor``; what is lost goes to Flop. Four decimals."""
-    flop, fair, hit = (F.round(probs[i], 4) for i in range(3))
-    return F.when(factor < 1.0, F.array(F.round(flop + hit * (1 - factor), 4), fair, F.round(hit * factor, 4))) \
+    flop, fair, hit = (round_to(probs[i], 4) for i in range(3))
+    return F.when(factor < 1.0, F.array(round_to(flop + hit * (1 - factor), 4), fair, round_to(hit * factor, 4))) \
         .otherwise(F.array(flop, fair, hit))
 
 
 def margin_top2(probs: Column) -> Column:
     ranked = F.sort_array(probs, asc=False)
-    return F.round(ranked[0] - ranked[1], 4)
+    return round_to(ranked[0] - ranked[1], 4)
 
 
 def models_disagree(classes: Sequence[Column]) -> Column:
@@ -53,9 +54,9 @@ def uncertainty_level(margin: Column, disagree: Column, cuts: tuple[float, float
 
 def two_stage_funnel(p_traction: Column, probs: Column) -> Mapping[str, Column]:
     """Probability of no traction and of each class given traction."""
-    out = {vocab.NO_TRACTION: F.round(1 - p_traction, 4)}
+    out = {vocab.NO_TRACTION: round_to(1 - p_traction, 4)}
     for i, name in enumerate(CLASSES):
-        out[name] = F.round(p_traction * probs[i], 4)
+        out[name] = round_to(p_traction * probs[i], 4)
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import vocab
 from shelfwise.functions import features as X, parsing as P
+from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import group_totals
 from shelfwise.operators.ordered import grouped_median
 
@@ -62,7 +63,7 @@ def review_panel(reviews: DataFrame, key: str, epoch: Column, voted_up: Column,
         F.count_if(~F.col("_v")).alias("negative_count"),
         F.count_if("_p").alias("steam_purchase_count"),
         F.count_if("_a").alias("early_access_count"),
-        F.round(F.sum("_m") / F.count(F.lit(1)) / 60, 2).alias("avg_playtime_at_review_hrs"),
+        round_to(F.sum("_m") / F.count(F.lit(1)) / 60, 2).alias("avg_playtime_at_review_hrs"),
     )
 
 
@@ -75,18 +76,18 @@ def collapse_panel(panel: DataFrame, key: str = "appid") -> DataFrame:
     out = panel.groupBy(key).agg(
         *[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()],
         F.count_if(F.col("review_count") > 0).alias("ts_months_active"),
-        F.round(F.avg("avg_playtime_at_review_hrs"), 2).alias("ts_avg_playtime_hrs"),
+        round_to(F.avg("avg_playtime_at_review_hrs"), 2).alias("ts_avg_playtime_hrs"),
     )
     votes = F.col("ts_positive") + F.col("ts_negative")
     return out.withColumn(
-        "ts_positive_ratio", F.when(votes > 0, F.round(F.col("ts_positive") / votes, 3)).otherwise(0.0)
+        "ts_positive_ratio", F.when(votes > 0, round_to(F.col("ts_positive") / votes, 3)).otherwise(0.0)
     )
 
 
 def class_shares(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 3))
+    return counts.withColumn("share", round_to(F.col("n") / counts.agg(F.sum("n")).scalar(), 3))
 
 
 def fixed_counts(df: DataFrame, tests: dict[str, Column], name: str, count: str = "n") -> DataFrame:
@@ -115,7 +116,7 @@ def owners_by_flag(df: DataFrame, flags: Sequence[str], owners: str, label: str,
         .unpivot([owners, label], list(flags), "genre", "flag").where(F.col("flag") == 1)
     stats = long.groupBy("genre").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg((F.col(label) == 2).cast("double")) * 100, 1).alias("pct_hit"),
+        round_to(F.avg((F.col(label) == 2).cast("double")) * 100, 1).alias("pct_hit"),
     ).where(F.col("n") >= min_rows)
     med = grouped_median(long, "genre", owners)
     return stats.join(med, "genre").select(
@@ -130,8 +131,8 @@ def hits_by_quarter(df: DataFrame, quarter: Column, label: Column, min_rows: int
         df.select(quarter.alias("q"), label.alias("_l")).where(F.col("q").isin(*vocab.QUARTERS))
         .groupBy("q").agg(
             F.count(F.lit(1)).alias("n"),
-            F.round(F.avg((F.col("_l") == 2).cast("double")) * 100, 1).alias("pct_hit"),
-            F.round(F.avg((F.col("_l") >= 1).cast("double")) * 100, 1).alias("pct_exito"),
+            round_to(F.avg((F.col("_l") == 2).cast("double")) * 100, 1).alias("pct_hit"),
+            round_to(F.avg((F.col("_l") >= 1).cast("double")) * 100, 1).alias("pct_exito"),
         ).where(F.col("n") >= min_rows)
     )
 
@@ -171,7 +172,7 @@ def master_audit(df: DataFrame, near_constant: int, label: str = "label") -> Dat
     """A27."""
     nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
     n = F.count(F.lit(1))
-    share = lambda k: F.round(F.count_if(F.col(label) == k) / n, 3)
+    share = lambda k: round_to(F.count_if(F.col(label) == k) / n, 3)
     return df.agg(
         n.alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), nulls.alias("n_nulls"),
         *[share(k).alias(f"share_{v.lower()}") for k, v in vocab.LABEL_NAMES.items()],

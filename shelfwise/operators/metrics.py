@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfwise.functions.rounding import round_to
+
 
 def class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     """M4: n / (classes * n_class) on every row."""
@@ -66,15 +68,15 @@ def auc_ovr_macro(df: DataFrame, label: str, scores: Sequence[Column]) -> float:
 def classification_metrics(df: DataFrame, label: str, prediction: str, scores: Sequence[Column]) -> DataFrame:
     """M9: macro AUC, macro F1 and accuracy as one row."""
     return summary(confusion(df, label, prediction, len(scores))).select(
-        F.round(F.lit(auc_ovr_macro(df, label, scores)), 4).alias("auc_ovr_macro"),
-        F.round("f1", 4).alias("f1_macro"), F.round("accuracy", 4).alias("accuracy"))
+        round_to(F.lit(auc_ovr_macro(df, label, scores)), 4).alias("auc_ovr_macro"),
+        round_to("f1", 4).alias("f1_macro"), round_to("accuracy", 4).alias("accuracy"))
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str, score: Column) -> DataFrame:
     """M11."""
     return summary(confusion(df, label, prediction, 2), "binary").select(
-        F.round(F.lit(auc(df, F.col(label) == 1, score)), 4).alias("auc"),
-        F.round("f1", 4).alias("f1"), F.round("accuracy", 4).alias("accuracy"))
+        round_to(F.lit(auc(df, F.col(label) == 1, score)), 4).alias("auc"),
+        round_to("f1", 4).alias("f1"), round_to("accuracy", 4).alias("accuracy"))
 
 
 def regression_metrics(df: DataFrame, actual_log: Column, predicted_log: Column) -> DataFrame:
@@ -82,5 +84,5 @@ def regression_metrics(df: DataFrame, actual_log: Column, predicted_log: Column)
     rows = df.select(actual_log.alias("a"), predicted_log.alias("p"))
     sse, sst = F.sum(F.pow(F.col("a") - F.col("p"), F.lit(2.0))), F.var_pop("a") * F.count(F.lit(1))
     return rows.agg(
-        F.round(1 - F.try_divide(sse, sst), 4).alias("r2_log"),
+        round_to(1 - F.try_divide(sse, sst), 4).alias("r2_log"),
         F.avg(F.abs(F.expm1("a") - F.expm1("p"))).cast("bigint").alias("mae_owners"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise import vocab
+from shelfwise.functions.rounding import round_to
 from shelfwise.operators.filters import role_of, stage_of
 from shelfwise.operators.groups import top_k_per_key
 from shelfwise.operators.ordered import column_medians
@@ -29,7 +30,7 @@ def null_profile(df: DataFrame) -> DataFrame:
         aggs.append((F.count_if(F.trim(_q(c)) == "") if c in text else F.lit(0)).cast("bigint").alias(f"b{i}"))
     parts = ", ".join(f"'{c}', u{i}, b{i}" for i, c in enumerate(df.columns))
     rows = df.agg(*aggs).selectExpr("_n", f"stack({len(df.columns)}, {parts}) AS (column, nulls, blanks)")
-    pct = lambda c: F.round(F.try_divide(F.col(c) * 100, F.col("_n")), 1)
+    pct = lambda c: round_to(F.try_divide(F.col(c) * 100, F.col("_n")), 1)
     return rows.where("nulls > 0 OR blanks > 0").select(
         "column", "nulls", "blanks", pct("nulls").alias("pct_nulls"), pct("blanks").alias("pct_blanks")
     )
@@ -136,7 +137,7 @@ def dictionary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_unique"), (F.max("n") / F.sum("n")).alias("top_share")
     )
     nz = df.agg(*[
-        (F.round(F.avg((_q(c).isNull() | (_q(c) != 0)).cast("double")) * 100, 1) if c in numeric
+        (round_to(F.avg((_q(c).isNull() | (_q(c) != 0)).cast("double")) * 100, 1) if c in numeric
          else F.lit(None).cast("double")).alias(c) for c in cols
     ]).unpivot([], cols, "column", "pct_nonzero")
     roles = df.sparkSession.createDataFrame(

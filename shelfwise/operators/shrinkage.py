@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import vocab
+from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import group_totals
 
 
@@ -24,9 +25,9 @@ def leave_one_out_prior(df: DataFrame, who: str = "developer", label: str = "lab
                        source=source.withColumn("_y", viable))
     out = out.withColumn("_p0", p0)
     a0, b0 = F.col("_p0") * strength, (1 - F.col("_p0")) * strength
-    prior = F.round((F.col("_gs") - F.col("_y") + a0) / (F.col("_gn") - 1 + a0 + b0), 4)
+    prior = round_to((F.col("_gs") - F.col("_y") + a0) / (F.col("_gn") - 1 + a0 + b0), 4)
     if null_prior == "global":
-        prior = F.coalesce(prior, F.round("_p0", 4))
+        prior = F.coalesce(prior, round_to("_p0", 4))
     return out.withColumn(name, prior).drop("_y", "_gn", "_gs", "_p0")
 
 
@@ -52,4 +53,4 @@ def posterior(counts: DataFrame, fit: DataFrame, who: str) -> DataFrame:
     raw = F.col("k") / F.col("n")
     shrunk = (F.col("k") + F.col("_f.alpha")) / (F.col("n") + F.col("_f.alpha") + F.col("_f.beta"))
     return rows.select(who, "n", "k", raw.alias("p_raw"), shrunk.alias("p_shrunk"),
-                       F.round(F.abs(raw - shrunk), 3).alias("shrinkage"))
+                       round_to(F.abs(raw - shrunk), 3).alias("shrinkage"))

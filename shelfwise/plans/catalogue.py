@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions import features as X
+from shelfwise.functions.rounding import round_to
 
 # Cut points for the bound owner figures: 28 / 52 / 20 % of the orders.
 FLOP_MAX, HIT_MIN = 140_000, 400_000
@@ -44,7 +45,7 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
         F.concat("c_mktsegment", F.lit(" "), F.col("o_orderkey").cast("string")).alias("name"),
         F.col("c_name").alias("developer"), F.col("n_name").alias("publisher"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
-        F.when(free, 0.0).otherwise(F.round(F.abs("c_acctbal") / 100, 2)).alias("price"),
+        F.when(free, 0.0).otherwise(round_to(F.abs("c_acctbal") / 100, 2)).alias("price"),
         free.cast("int").alias("is_free"),
         F.when(F.col("o_totalprice") < 20000, 0).otherwise(whole).cast("bigint").alias("owners_lower_bound"),
         (F.col("o_custkey") % 1000).alias("ccu"),
@@ -65,12 +66,12 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 METADATA_SQL = """
 SELECT o.o_orderkey AS appid, c.c_mktsegment || ' ' || CAST(o.o_orderkey AS VARCHAR) AS name,
   c.c_name AS developer, n.n_name AS publisher, strftime(o.o_orderdate, '%Y-%m-%d') AS release_date,
-  CASE WHEN o.o_orderpriority = '5-LOW' THEN 0.0 ELSE round(abs(c.c_acctbal) / 100, 2) END AS price,
+  CASE WHEN o.o_orderpriority = '5-LOW' THEN 0.0 ELSE round_even(abs(c.c_acctbal) / 100, 2) END AS price,
   CAST(o.o_orderpriority = '5-LOW' AS INTEGER) AS is_free,
   CAST(CASE WHEN o.o_totalprice < 20000 THEN 0 ELSE floor(o.o_totalprice) END AS BIGINT) AS owners_lower_bound,
   o.o_custkey % 1000 AS ccu,
   CASE WHEN floor(o.o_totalprice / 1000) + o.o_custkey % 50 > 0
-    THEN round(floor(o.o_totalprice / 1000) / (floor(o.o_totalprice / 1000) + o.o_custkey % 50) * 100, 2) ELSE 0.0 END
+    THEN round_even(floor(o.o_totalprice / 1000) / (floor(o.o_totalprice / 1000) + o.o_custkey % 50) * 100, 2) ELSE 0.0 END
     AS rating_porcentaje,
   CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS positive, o.o_custkey % 50 AS negative,
   o.o_orderkey % 101 AS metacritic_score, CAST(0 AS BIGINT) AS hub_followers,
@@ -135,7 +136,7 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.col("l_returnflag") == "R").alias("negative_count"),
         F.count_if(F.col("l_linestatus") == "O").alias("steam_purchase_count"),
         F.count_if(F.col("l_discount") >= 0.095).alias("early_access_count"),
-        F.round(F.sum("l_quantity") / F.count(F.lit(1)) / 60, 2).alias("avg_playtime_at_review_hrs"))
+        round_to(F.sum("l_quantity") / F.count(F.lit(1)) / 60, 2).alias("avg_playtime_at_review_hrs"))
 
 
 PANEL_SQL = """
@@ -144,6 +145,6 @@ SELECT l_orderkey AS appid, strftime(l_shipdate, '%Y-%m') AS month, count(*) AS
   count(*) FILTER (WHERE l_returnflag = 'R') AS negative_count,
   count(*) FILTER (WHERE l_linestatus = 'O') AS steam_purchase_count,
   count(*) FILTER (WHERE l_discount >= 0.095) AS early_access_count,
-  round(sum(l_quantity) / count(*) / 60, 2) AS avg_playtime_at_review_hrs
+  round_even(sum(l_quantity) / count(*) / 60, 2) AS avg_playtime_at_review_hrs
 FROM lineitem GROUP BY 1, 2
 """

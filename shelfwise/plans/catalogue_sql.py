@@ -18,9 +18,9 @@ SELECT appid, CAST(sum(review_count) AS BIGINT) AS ts_total_reviews, CAST(sum(po
   CAST(sum(negative_count) AS BIGINT) AS ts_negative, CAST(sum(steam_purchase_count) AS BIGINT) AS ts_steam_purchase,
   CAST(sum(early_access_count) AS BIGINT) AS ts_early_access,
   count(*) FILTER (WHERE review_count > 0) AS ts_months_active,
-  round(avg(avg_playtime_at_review_hrs), 2) AS ts_avg_playtime_hrs,
+  round_even(avg(avg_playtime_at_review_hrs), 2) AS ts_avg_playtime_hrs,
   CASE WHEN sum(positive_count) + sum(negative_count) > 0
-    THEN round(CAST(sum(positive_count) AS DOUBLE) / (sum(positive_count) + sum(negative_count)), 3) ELSE 0.0 END
+    THEN round_even(CAST(sum(positive_count) AS DOUBLE) / (sum(positive_count) + sum(negative_count)), 3) ELSE 0.0 END
     AS ts_positive_ratio
 FROM panel GROUP BY appid"""
 
@@ -48,5 +48,5 @@ p0 AS (SELECT avg(CAST(label >= 1 AS INTEGER)) AS p FROM labelled),
 dv AS (SELECT developer AS dvd, count(*) AS dvn, sum(CAST(label >= 1 AS INTEGER)) AS dvs FROM labelled GROUP BY 1),
 master AS (SELECT l.*, ts.* EXCLUDE (appid),
   CASE label WHEN 2 THEN 'Hit' WHEN 1 THEN 'Rentable' ELSE 'Flop' END AS label_name,
-  round((dvs - CAST(label >= 1 AS INTEGER) + p * 12.0) / (dvn - 1 + p * 12.0 + (1 - p) * 12.0), 4) AS dev_success_prior
+  round_even((dvs - CAST(label >= 1 AS INTEGER) + p * 12.0) / (dvn - 1 + p * 12.0 + (1 - p) * 12.0), 4) AS dev_success_prior
   FROM labelled l JOIN dv ON l.developer = dvd LEFT JOIN ts USING (appid), p0)"""

@@ -12,7 +12,6 @@ from shelfwise import vocab
 from shelfwise.operators import aggregates as A, metrics
 from shelfwise.plans import catalogue as C, catalogue_sql as S
 from shelfwise.plans.data import master
-from shelfwise.operators.profile import dictionary
 from shelfwise.plans.registry import query
 from shelfwise.session import scratch_dir
 from shelfwise.sources import delimited as D, payloads as L, tables as T
@@ -102,13 +101,13 @@ _GAMES = "FROM orders WHERE o_custkey % 11 <> 0 AND o_orderstatus <> 'P'"
   CAST(o_orderpriority = '5-LOW' AS INTEGER) AS is_free,
   CAST(floor(o_totalprice / 20000) * 20000 AS BIGINT) AS owners_lower_bound, o_custkey % 1000 AS ccu,
   CASE WHEN o_custkey % 500 + o_custkey % 40 > 0
-    THEN round(CAST(o_custkey % 500 AS DOUBLE) / (o_custkey % 500 + o_custkey % 40) * 100, 2) ELSE 0.0 END AS rating_porcentaje,
+    THEN round_even(CAST(o_custkey % 500 AS DOUBLE) / (o_custkey % 500 + o_custkey % 40) * 100, 2) ELSE 0.0 END AS rating_porcentaje,
   o_custkey % 500 AS positive, o_custkey % 40 AS negative, o_custkey % 100 AS metacritic_score,
   CAST(0 AS BIGINT) AS hub_followers, o_custkey % 60 AS total_achievements, 1 + o_custkey % 3 AS total_dlcs,
   CAST(CASE WHEN o_custkey % 2 = 0 THEN 3 ELSE 2 END AS BIGINT) AS supported_languages,
   CASE WHEN o_custkey % 3 = 0 THEN 'full' ELSE 'none' END AS controller_support, 1 AS platform_windows,
   CAST(o_custkey % 2 = 0 AS INTEGER) AS platform_mac, CAST(o_custkey % 3 = 0 AS INTEGER) AS platform_linux,
-  CASE WHEN o_custkey % 5 = 0 THEN 0.0 WHEN o_custkey % 4 = 0 THEN round((1 + o_custkey % 16) / 1024, 2)
+  CASE WHEN o_custkey % 5 = 0 THEN 0.0 WHEN o_custkey % 4 = 0 THEN round_even((1 + o_custkey % 16) / 1024, 2)
     ELSE CAST(1 + o_custkey % 16 AS DOUBLE) END AS min_ram_gb {_GAMES}""")
 def s6(spark, sf):
     items = L.store_items(store_payloads(spark, sf)).join(L.estimates(estimate_payloads(spark, sf)), "appid", "left")
@@ -171,8 +170,8 @@ def s10(spark, sf):
 
 @query("s11_master_export", f"WITH {S.MASTER} SELECT appid, label, dev_success_prior, num_tags, price_tier FROM master")
 def s11(spark, sf):
-    folder, m = scratch_dir(spark, "master"), master(spark, sf)
-    T.export_master(m, dictionary(m), folder)
+    folder = scratch_dir(spark, "master")
+    T.export_master(master(spark, sf), folder)
     return spark.read.parquet(f"{folder}/dataset_ml").select(
         "appid", "label", "dev_success_prior", "num_tags", "price_tier")
 

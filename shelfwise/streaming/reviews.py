@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import top_k_per_key
 
 
@@ -48,4 +49,4 @@ def read_month_panel(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return last.groupBy(key, F.date_format("day", "yyyy-MM").alias("month")).agg(
         *[F.sum(c).alias(c) for c in ("review_count", "positive_count", "negative_count", "steam_purchase_count",
                                       "early_access_count")],
-        F.round(F.sum("minutes") / F.sum("review_count") / 60, 2).alias("avg_playtime_at_review_hrs"))
+        round_to(F.sum("minutes") / F.sum("review_count") / 60, 2).alias("avg_playtime_at_review_hrs"))
