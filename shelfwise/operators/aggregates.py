@@ -68,15 +68,19 @@ def review_panel(reviews: DataFrame, key: str, epoch: Column, voted_up: Column,
 
 
 def collapse_panel(panel: DataFrame, key: str = "appid") -> DataFrame:
-    """One row per item from its months."""
+    """One row per item from its months.
+
+    Hours are summed as decimals, so the mean does not depend on the order of the rows.
+    """
     sums = {
         "ts_total_reviews": "review_count", "ts_positive": "positive_count", "ts_negative": "negative_count",
         "ts_steam_purchase": "steam_purchase_count", "ts_early_access": "early_access_count",
     }
+    hours = F.col("avg_playtime_at_review_hrs").cast("decimal(28,10)")
     out = panel.groupBy(key).agg(
         *[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()],
         F.count_if(F.col("review_count") > 0).alias("ts_months_active"),
-        round_to(F.avg("avg_playtime_at_review_hrs"), 2).alias("ts_avg_playtime_hrs"),
+        round_to(F.sum(hours).cast("double") / F.count(hours), 2).alias("ts_avg_playtime_hrs"),
     )
     votes = F.col("ts_positive") + F.col("ts_negative")
     return out.withColumn(

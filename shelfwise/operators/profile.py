@@ -54,7 +54,8 @@ def domains(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
     if not missing:
         return out
     gone = df.sparkSession.createDataFrame([(c,) for c in missing], "column string")
-    return out.unionByName(gone.withColumn("present", F.lit(False)), allowMissingColumns=True)
+    gone = gone.withColumns({"n": F.lit(0).cast("bigint"), "present": F.lit(False)})
+    return out.unionByName(gone, allowMissingColumns=True)
 
 
 def top_shares(df: DataFrame, cols: Sequence[str], skip_nulls: bool = False) -> DataFrame:
@@ -62,16 +63,18 @@ def top_shares(df: DataFrame, cols: Sequence[str], skip_nulls: bool = False) ->
 
     A value on more than half of the rows is also the median, so a first pass
     of sketches names one candidate per column and a second pass counts it.
-    Neither pass shuffles rows. Text goes through its 64-bit hash; the second
-    pass counts the text whose hash is the candidate's, which is checked to be
-    a single one. Where no value reaches one half, the share given is below it.
+    Neither pass shuffles rows. Values that a double cannot hold go through a
+    52-bit hash; the second pass counts the values with the candidate's hash,
+    which are checked to be a single one. Where no value reaches one half, the
+    share given is below it.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
+    exact = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
     def ordinal(c):
-        if isinstance(types[c], T.NumericType):
+        if isinstance(types[c], exact):
             return _q(c)
-        return F.when(_q(c).isNotNull(), F.xxhash64(_q(c).cast("string")))
+        return F.when(_q(c).isNotNull(), F.shiftrightunsigned(F.xxhash64(_q(c).cast("string")), 12))
 
     cand = df.agg(*[F.percentile_approx(ordinal(c), 0.5, 1_000).alias(f"c{i}") for i, c in enumerate(cols)])
     with_cand = df.select(
@@ -89,7 +92,7 @@ def top_shares(df: DataFrame, cols: Sequence[str], skip_nulls: bool = False) ->
     parts = ", ".join(f"'{c}', h{i}, u{i}, o{i}, k{i}" for i, c in enumerate(cols))
     rows = with_cand.agg(*aggs).selectExpr("_n", f"stack({len(cols)}, {parts}) AS (column, hits, nulls, one, constant)")
     hits = F.when(F.col("one"), F.col("hits")).otherwise(
-        F.raise_error(F.lit("two texts share a hash")).cast("bigint"))
+        F.raise_error(F.lit("two values share a hash")).cast("bigint"))
     if skip_nulls:
         share = F.try_divide(hits, F.col("_n") - F.col("nulls"))
         few = F.col("constant")

@@ -18,7 +18,7 @@ SELECT appid, CAST(sum(review_count) AS BIGINT) AS ts_total_reviews, CAST(sum(po
   CAST(sum(negative_count) AS BIGINT) AS ts_negative, CAST(sum(steam_purchase_count) AS BIGINT) AS ts_steam_purchase,
   CAST(sum(early_access_count) AS BIGINT) AS ts_early_access,
   count(*) FILTER (WHERE review_count > 0) AS ts_months_active,
-  round_even(avg(avg_playtime_at_review_hrs), 2) AS ts_avg_playtime_hrs,
+  round_even(CAST(sum(CAST(avg_playtime_at_review_hrs AS DECIMAL(28,10))) AS DOUBLE) / count(*), 2) AS ts_avg_playtime_hrs,
   CASE WHEN sum(positive_count) + sum(negative_count) > 0
     THEN round_even(CAST(sum(positive_count) AS DOUBLE) / (sum(positive_count) + sum(negative_count)), 3) ELSE 0.0 END
     AS ts_positive_ratio
