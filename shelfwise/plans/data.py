@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark import StorageLevel
 
 from shelfwise.plans import catalogue as C
 from shelfwise.plans.master import build_master, build_stage1
+from shelfwise.session import materialise
 
 
 def master(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,10 +23,9 @@ def stage1(spark: SparkSession, sf: str) -> DataFrame:
 @lru_cache(maxsize=4)
 def _stored(app_id: str, sf: str, name: str) -> DataFrame:
     spark = SparkSession.active()
-    # Training reads its rows many times; lost blocks are rebuilt from the source tables.
-    return {"master": master, "stage1": stage1}[name](spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    return materialise({"master": master, "stage1": stage1}[name](spark, sf), name)
 
 
 def stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The feature table, kept over the queries of a session."""
+    """The feature table, written once and read by the queries of a session."""
     return _stored(spark.sparkContext.applicationId, sf, name)

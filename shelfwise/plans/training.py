@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import vocab
+from shelfwise.functions.rounding import round_to
 from shelfwise.operators import filters as R, models as M, ordered as O, profile as PR
 from shelfwise.operators.scoring import Schema, Scorer
 from shelfwise.plans import catalogue as C
 from shelfwise.plans.data import stored
+from shelfwise.session import materialise
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -53,8 +54,7 @@ def _trained(app_id: str, sf: str) -> Trained:
     f = features(spark, sf)
     df = split(stored(spark, sf, "master").withColumn("log_owners", F.log1p(F.col("owners_lower_bound").cast("double"))), "label")
     pre = M.fit_preprocessor(df.where(~F.col("is_test")), f)
-    rows = M.preprocess(pre, df).select("appid", "label", "log_owners", "is_test", "features") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    rows = materialise(M.preprocess(pre, df).select("appid", "label", "log_owners", "is_test", "features"), "train")
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     models = M.fit_classifiers(train, len(vocab.LABEL_NAMES))
     return Trained(f, pre, models, M.owners_regressor().fit(train), train, test)
@@ -71,7 +71,7 @@ def _traction(app_id: str, sf: str):
     f = features(spark, sf, "stage1")
     df = split(stored(spark, sf, "stage1").withColumn("label", F.col("tiene_ventas")), "label")
     pre = M.fit_preprocessor(df.where(~F.col("is_test")), f)
-    rows = M.preprocess(pre, df).select("appid", "label", "is_test", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = materialise(M.preprocess(pre, df).select("appid", "label", "is_test", "features"), "train1")
     train = rows.where(~F.col("is_test"))
     model = M.logistic("s1", 1.0, float(train.count()), family="binomial", weighted=False).fit(train)
     scored = model.transform(rows.where("is_test")).withColumn("score", vector_to_array("prob_s1")[1])
@@ -102,7 +102,7 @@ def scenarios(spark: SparkSession, sf: str) -> DataFrame:
     """One planned item per customer: a few choices are given, the rest take defaults."""
     k = F.col("c_custkey")
     return C.table(spark, sf, "customer").select(
-        k.alias("scenario"), F.round(F.abs("c_acctbal") / 80, 2).alias("price"), (k % 20).alias("supported_languages"),
+        k.alias("scenario"), round_to(F.abs("c_acctbal") / 80, 2).alias("price"), (k % 20).alias("supported_languages"),
         F.when(k % 3 == 0, "full").otherwise("none").alias("controller_support"),
         F.when(k % 4 != 0, F.concat(F.lit("Q"), (k % 4).cast("string"))).alias("release_quarter"),
         (k % 2).alias("genre_promo"), (k % 5 == 0).cast("int").alias("tag_brand_3"), F.lit(1).alias("no_such_feature"))

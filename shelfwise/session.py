@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "shelfwise", master: str | None = None, shuffle_partitions: int | None = None,
@@ -44,3 +44,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="shelfwise-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes a table to the shared scratch folder and reads it back.
+
+    Later jobs start from the files: they carry no long lineage, and a lost
+    executor costs no recomputation.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
