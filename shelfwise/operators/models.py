@@ -61,9 +61,9 @@ def fit_preprocessor(df: DataFrame, features: Features, out: str = "features") -
     for i, c in enumerate(features.numeric):
         mean, dev = float(stats[2 * i] or 0.0), float(stats[2 * i + 1] or 0.0)
         scaled.append(f"(CAST(`{c}` AS DOUBLE) - {mean!r}D) / {dev if dev > 0 else 1.0!r}D AS `_z{i}`")
-    flags = [f"CAST(`{c}` AS DOUBLE) AS `_f{i}`" for i, c in enumerate(features.flags)]
-    stages = [SQLTransformer(statement="SELECT *, " + ", ".join(scaled + flags) + " FROM __THIS__")]
-    inputs = [f"_z{i}" for i in range(len(features.numeric))] + [f"_f{i}" for i in range(len(features.flags))]
+    stages = [SQLTransformer(statement="SELECT " + ", ".join(["*", *scaled]) + " FROM __THIS__")]
+    # Flags keep their names: a second name for each would multiply what the optimizer infers about sums of flags.
+    inputs = [f"_z{i}" for i in range(len(features.numeric))] + list(features.flags)
     if features.categorical:
         index = [f"_i{i}" for i in range(len(features.categorical))]
         hot = [f"_o{i}" for i in range(len(features.categorical))]
