@@ -25,7 +25,7 @@ def m1(spark, sf):
     return M.feature_catalogue(stored(spark, sf, "master"), T.features(spark, sf))
 
 
-@query("m2_preprocess", f"""WITH {S.RAW} SELECT appid, round_even((price - (SELECT avg(price) FROM meta)) / (SELECT stddev_pop(price) FROM meta), 6)
+@query("m2_preprocess", f"""WITH {S.RAW} SELECT appid, round_even((price - (SELECT avg(price) FROM meta)) / (SELECT stddev_pop(price) FROM meta), 6) + 0.0
   AS z_price, CAST(platform_mac AS DOUBLE) AS mac, CAST(controller_support = 'full' AS DOUBLE) AS is_full,
   CAST(controller_support = 'none' AS DOUBLE) AS is_none, CAST(controller_support = 'partial' AS DOUBLE) AS is_partial FROM meta""")
 def m2(spark, sf):

@@ -260,7 +260,7 @@ def j8(spark, sf):
         "appid", "owners_lower_bound")
 
 
-@query("j9_ranked_candidates", f"""WITH {S.RAW}, {_EFFECTS_SQL} SELECT feature, round_even(coef, 6) AS coef FROM effects
+@query("j9_ranked_candidates", f"""WITH {S.RAW}, {_EFFECTS_SQL} SELECT feature, round_even(coef, 6) + 0.0 AS coef FROM effects
   WHERE feature IN (SELECT flag FROM (UNPIVOT tags ON COLUMNS(* EXCLUDE (appid)) INTO NAME flag VALUE v) GROUP BY 1
     HAVING avg(CAST(v AS DOUBLE)) BETWEEN 0.05 AND 0.95) ORDER BY abs(coef) DESC, feature LIMIT 12""")
 def j9(spark, sf):
@@ -311,13 +311,13 @@ def t3(spark, sf):
 
 
 @query("t4_both_ends", f"""WITH {S.RAW}, {_EFFECTS_SQL}
-  (SELECT feature, round_even(coef, 3) AS coef, 'positivos' AS side FROM effects ORDER BY effects.coef DESC, feature LIMIT 8)
-  UNION ALL (SELECT feature, round_even(coef, 3), 'negativos' FROM effects ORDER BY effects.coef, feature LIMIT 8)""")
+  (SELECT feature, round_even(coef, 3) + 0.0 AS coef, 'positivos' AS side FROM effects ORDER BY effects.coef DESC, feature LIMIT 8)
+  UNION ALL (SELECT feature, round_even(coef, 3) + 0.0, 'negativos' FROM effects ORDER BY effects.coef, feature LIMIT 8)""")
 def t4(spark, sf):
     return O.both_ends(flag_effects(spark, sf), "coef", "feature", 8).select("feature", round_to("coef", 3).alias("coef"), "side")
 
 
-@query("t5_top_by_abs", f"""WITH {S.RAW}, {_EFFECTS_SQL} SELECT feature, round_even(coef, 6) AS coef FROM effects
+@query("t5_top_by_abs", f"""WITH {S.RAW}, {_EFFECTS_SQL} SELECT feature, round_even(coef, 6) + 0.0 AS coef FROM effects
   ORDER BY abs(effects.coef) DESC, feature LIMIT 12""")
 def t5(spark, sf):
     return O.top_by_abs(flag_effects(spark, sf), "coef", "feature", 12).select("feature", round_to("coef", 6).alias("coef"))
