@@ -22,8 +22,9 @@ def enriched(meta: DataFrame, tags: DataFrame, text: DataFrame | None, order: li
     out = out.withColumns(P.release_parts(F.col("release_date")))
     out = out.withColumn("price_tier", X.price_tier(F.col("price"), F.col("is_free")))
     if text is not None:
-        lengths = first_per_key(text, ["appid"], ["short_description"]).select(
-            "appid", P.text_length(F.col("short_description")).alias("short_desc_len"))
+        # Only lengths leave the scan, never the texts.
+        lengths = text.select("appid", P.text_length(F.col("short_description")).alias("short_desc_len"))
+        lengths = first_per_key(lengths, ["appid"], ["short_desc_len"])
         out = left_join_zero(out, lengths, "appid", ["short_desc_len"])
     return join_catalogue(out, tags)
 
