@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,16 +38,27 @@ def build_session(app: str = "shelfwise", master: str | None = None, shuffle_par
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables.
 
-    It lies under the shared folder named by ``spark.checkpoint.dir``; only a
-    session without that setting (a local test) gets a temporary folder.
+    It lies under the shared folder named by ``spark.checkpoint.dir``. Only a
+    local session may do without that setting: it gets a temporary folder that
+    goes when the process ends. On a cluster a machine-local folder would lose
+    rows, so there the missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="shelfwise-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder that no later job reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the shared scratch folder and reads it back.
 
