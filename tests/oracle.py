@@ -21,7 +21,7 @@ def connection(sf: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "tolist"):
         v = v.tolist()
@@ -42,7 +42,7 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> list[str]:
         return [f"columns {sorted(got.columns)} != {sorted(want.columns)}"]
     problems = []
     for c in sorted(got.columns):
-        if got[c].dtype != want[c].dtype and len(got):
+        if got[c].dtype != want[c].dtype and len(got) and not (got[c].isna().any() or want[c].isna().any()):
             problems.append(f"type of {c}: {got[c].dtype} != {want[c].dtype}")
     a, b = rows(got), rows(want)
     if len(a) != len(b):
