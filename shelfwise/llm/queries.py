@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import langid
+from shelfwise.llm import aliases, langid, quality, simhash, warc
 from shelfwise.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,77 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", held_out().alias("held_out"))
     model = langid.fit(docs.where("NOT held_out"))
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
+
+
+@query("op2_warc", """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT page_id, octet_length(b) AS payload_bytes, upper(sha1(b)) AS hex FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM d),
+    bits AS (SELECT *, list_transform(range(0, 40), lambda i: strpos('0123456789ABCDEF', substr(hex, (i + 1)::BIGINT, 1)) - 1) AS nib FROM f)
+    SELECT page_id, payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((nib[(i * 5) // 4 + 1] * 16 + coalesce(nib[(i * 5) // 4 + 2], 0))
+            >> (3 - (i * 5) % 4)) & 31)::BIGINT, 1)), 'string_agg', '') AS payload_digest,
+        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+    FROM bits""")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = warc.round_trip(spark, table(spark, sf, "pages"))
+    return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        warc.page_of("refers_to").alias("refers_to"))
+
+
+@query("op9_simhash")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+         ("com", "/de/", "block"))
+
+
+@query("op8_url_aliases", r"""
+    WITH RECURSIVE rules(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+        ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+    parts AS (SELECT *, coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 1, 's'), '') AS s,
+        translate(coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 2, 's'), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 3, 's'), '') AS path,
+        coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 4, 's'), '') AS q FROM pages),
+    own AS (SELECT *, CASE WHEN contains(url, '://') THEN lower(s) || '://' || host || path || q END AS node FROM parts),
+    tags AS (SELECT *, unnest([
+        regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?([^"''>\s]+)', 1, 'is'),
+        regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*["'']?([^"''>\s]+)', 1, 'is')])
+        AS raw FROM own WHERE node IS NOT NULL),
+    targets AS (SELECT node, s, host, path, url, replace(raw, '&amp;', '&') AS t FROM tags WHERE raw != ''),
+    linked AS (SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN t LIKE '//%' THEN s || ':' || t
+        WHEN t LIKE '/%' THEN s || '://' || host || t WHEN t LIKE '?%' THEN s || '://' || host || path || t
+        WHEN t LIKE '#%' THEN url
+        ELSE s || '://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || t END AS target FROM targets),
+    edge AS (SELECT node AS a, lower(regexp_extract(target, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 1, 's')) || '://' ||
+        translate(regexp_extract(target, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 2, 's'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ||
+        regexp_extract(target, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 3, 's') ||
+        regexp_extract(target, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 4, 's') AS b FROM linked WHERE target IS NOT NULL),
+    both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+    nodes AS (SELECT node, regexp_extract(node, '://([^/?#]*)', 1) AS host, regexp_extract(node, '://[^/?#]*([^?#]*)', 1) AS path
+        FROM (SELECT node FROM own WHERE node IS NOT NULL UNION SELECT b FROM edge)),
+    ruled AS (SELECT n.node, arg_min(r.host || r.path, (-length(r.host || r.path), r.host || r.path)) AS rule,
+        arg_min(r.verdict, (-length(r.host || r.path), r.host || r.path)) AS verdict FROM nodes n JOIN rules r
+        ON (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path) AND n.host != '' GROUP BY n.node),
+    reach AS (SELECT node, verdict FROM ruled UNION SELECT e.b, r.verdict FROM reach r JOIN both_ways e ON e.a = r.node),
+    settled AS (SELECT node, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' ELSE 'block' END AS verdict FROM reach GROUP BY node)
+    SELECT o.page_id, o.host, o.path, r.rule, coalesce(r.verdict, s.verdict, 'allow') AS verdict
+    FROM own o LEFT JOIN ruled r ON r.node = o.node LEFT JOIN settled s ON s.node = o.node""")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return aliases.judge(table(spark, sf, "pages"), aliases.rule_table(spark, RULES))
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", held_out().alias("held_out"))
+    labels = table(spark, sf, "labels").where(~held_out())
+    model = quality.fit(docs.where("NOT held_out"), labels)
+    scored = quality.score(docs, model).select("doc_id", "held_out", "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
