@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import aliases, langid, quality, simhash, warc
+from shelfwise.llm import aliases, curves, langid, packing, phrases, quality, simhash, suffixes, warc, windows
 from shelfwise.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,66 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     model = quality.fit(docs.where("NOT held_out"), labels)
     scored = quality.score(docs, model).select("doc_id", "held_out", "score")
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers as vocabularies
+
+    path, pattern = vocabularies.path("byte_bpe_50k.json"), vocabularies.PATTERN
+    return packing.pack(packing.pieces(table(spark, sf, "documents"), path, pattern))
+
+
+@query("op4_decontamination", r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM documents),
+    b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+    dw AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS g FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+    m AS (SELECT r, s, k, item_id FROM dw JOIN bw USING (k, g)),
+    h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + k)) AS p FROM m) GROUP BY r),
+    i AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM m GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)""")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))[0]
+
+
+@query("op6_substring_dedup", r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x != '') AS w
+        FROM documents),
+    g AS (SELECT doc_id, r, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+    late AS (SELECT r, s FROM (SELECT r, s, rank() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM g) WHERE k > 1),
+    gone AS (SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(s, s + 20)) AS p FROM late) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed, sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN w
+        ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' '), '')) AS kept_sha256 FROM d LEFT JOIN gone USING (r)""")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    found = windows.remove_repeated(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_nearest_neighbours")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return curves.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op5_suffix_dedup", """
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT r, doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS g
+        FROM (SELECT *, unnest(range(0, length(h) // 2 - 99)) AS s FROM d WHERE length(h) >= 200)),
+    late AS (SELECT r, s FROM (SELECT r, s, rank() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+    runs AS (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS run FROM (
+        SELECT r, s, (s - coalesce(lag(s) OVER (PARTITION BY r ORDER BY s), -1000) > 100)::INT AS fresh FROM late)),
+    spans AS (SELECT r, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY r, run),
+    gaps AS (SELECT s.r, a, b, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY s.r ORDER BY a), 0) + 1,
+        2 * (a - coalesce(lag(b) OVER (PARTITION BY s.r ORDER BY a), 0))) AS part FROM spans s JOIN d USING (r)),
+    cut AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(part, '' ORDER BY a) AS kept FROM gaps GROUP BY r)
+    SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+        sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256 FROM d LEFT JOIN cut USING (r)""")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffixes.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
