@@ -21,9 +21,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import stored, utf8
+from shelfwise.llm.common import LAST_ID, stored, utf8
 from shelfwise.llm.components import components
-from shelfwise.session import discard
 
 BUCKET = 8192
 PIECE = 1 << 21
@@ -159,14 +158,35 @@ def links(fps: DataFrame, most: int = 3, bucket: int = BUCKET) -> DataFrame:
     return out.unionByName(more.select("a", "b")).distinct()
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): the class of every row, named by the smallest id that links lead to."""
-    spark = docs.sparkSession
-    marked, _ = stored(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), width=width)
-                       .select("doc_id", "fp"), "fingerprints")
+def _named(marked: DataFrame, most: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint in ``marked`` (doc_id, fp); ``root`` names the class."""
     fps = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(fps, most))
     named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    names, _ = stored(named.join(least, "root").select("fp", "component_id"), "classes")
-    return marked.join(names, "fp").select("doc_id", "fp", "component_id")
+    return stored(named.join(least, "root").select("fp", "root", "component_id"), "classes")[0]
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id): the class of every row, named by the smallest id that links lead to."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    marked, _ = stored(with_fingerprint(own, width=width).select("doc_id", "fp"), "fingerprints")
+    return marked.join(_named(marked, most), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
+    """One row of each class, with all columns: the smallest id, then the smallest hash of the text; one of equal rows.
+
+    Only ids and hashes are compared; the rows are then sifted by a join against those that go.
+    """
+    key = {"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "_tag": F.coalesce(F.xxhash64(text), F.lit(0))}
+    own = docs.select(key["_doc"].alias("doc_id"), key["_tag"].alias("_tag"), F.col(text).alias("text"))
+    marked, _ = stored(with_fingerprint(own, width=width).select("doc_id", "_tag", "fp"), "fingerprints")
+    keys = marked.groupBy("doc_id", "_tag", "fp").agg(F.count(F.lit(1)).alias("n")).join(_named(marked, most), "fp")
+    best = keys.groupBy("root").agg(F.min(F.struct("doc_id", "_tag")).alias("b"))
+    judged, _ = stored(keys.join(best, "root").select(F.col("doc_id").alias("_doc"), "_tag", (
+        (F.col("doc_id") == F.col("b.doc_id")) & (F.col("_tag") == F.col("b._tag"))).alias("first"), "n"), "judged")
+    rows, on = docs.withColumns(key), ["_doc", "_tag"]
+    once = rows.join(judged.where("NOT first OR n > 1").select(on), on, "left_anti")
+    more = rows.join(judged.where("first AND n > 1").select(on), on, "left_semi").dropDuplicates(on)
+    return once.unionByName(more).select(docs.columns)
