@@ -109,7 +109,7 @@ def _settled(rows: list) -> pd.DataFrame:
     at = np.flatnonzero(later)
     order = at[np.lexsort((pos[at], tag[at], doc[at]))]
     same = np.append(False, (np.diff(doc[order]) == 0) & (np.diff(tag[order]) == 0) & (np.diff(pos[order]) <= 1))
-    cut = np.flatnonzero(~same)
+    cut = np.flatnonzero(~same[:len(order)])
     size = pos[order][np.append(cut[1:], len(order)) - 1] - pos[order][cut] + 1 if len(order) else cut
     n = len(cut)
     none = pd.array([None] * n, "Int64")
