@@ -57,8 +57,16 @@ def safe_double(c: Column, default: float = 0.0) -> Column:
 
 
 def safe_bool(c: Column) -> Column:
-    """Text true/1/yes in any case -> True, other text and null -> False."""
-    return F.coalesce(F.lower(c.cast("string")).isin("true", "1", "yes"), F.lit(False))
+    """Numbers but zero -> True; text true/1/yes in any case -> True; other text and null -> False."""
+    kind = F.typeof(c)  # known when the plan is made, so one branch is left
+    number = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | kind.startswith("decimal")
+    return F.coalesce(F.when(number, c.try_cast("double") != 0).otherwise(
+        F.lower(c.cast("string")).isin("true", "1", "yes")), F.lit(False))
+
+
+def slug(c: Column) -> Column:
+    """Column-name form of a vocabulary entry, as ``vocab.slug``."""
+    return F.translate(F.lower(c), " -/", "___")
 
 
 def month_of_epoch(c: Column) -> Column:

@@ -141,12 +141,10 @@ def hits_by_quarter(df: DataFrame, quarter: Column, label: Column, min_rows: int
     )
 
 
-def funnel_counts(df: DataFrame, complete: Column, modelled: Column) -> DataFrame:
-    """A23."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_catalogo"), F.count_if(complete).alias("n_metadata"),
-        F.count_if(modelled).alias("n_train"),
-    )
+def funnel_counts(catalogue: DataFrame, df: DataFrame, complete: Column, modelled: Column) -> DataFrame:
+    """Rows of the catalogue as it stands, then those of the joined table that are complete and modelled."""
+    return df.agg(F.count_if(complete).alias("n_metadata"), F.count_if(modelled).alias("n_train")).select(
+        catalogue.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_catalogo"), "n_metadata", "n_train")
 
 
 def segment_classes(df: DataFrame, tier: str, value: str, label: str) -> DataFrame:
@@ -156,11 +154,15 @@ def segment_classes(df: DataFrame, tier: str, value: str, label: str) -> DataFra
 
 
 def pseudonym_stats(df: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """Rows, distinct names and distinct pseudonyms; fewer pseudonyms than names is a collision."""
+    """Rows, distinct trimmed names and distinct pseudonyms of the names as they stand.
+
+    Fewer pseudonyms than names is a collision, more are names that differ in padding only. Blank names and the word
+    'null' are left out.
+    """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for name, pid in pairs.items():
-        known = F.col(pid) != ""
-        aggs += [F.count_distinct(F.when(known, F.col(name))).alias(f"{name}_names"),
+        known = P.is_valid_text(F.col(name))
+        aggs += [F.count_distinct(F.when(known, P.strip(F.col(name)))).alias(f"{name}_names"),
                  F.count_distinct(F.when(known, F.col(pid))).alias(f"{name}_ids")]
     return df.agg(*aggs)
 

@@ -42,11 +42,13 @@ def complete_panel(meta: DataFrame, panel: DataFrame, key: str = "appid",
     return panel.unionByName(missing.select(*zeros))
 
 
-def refresh(df: DataFrame, fresh: DataFrame, key: str, stale: Column, rules: dict[str, Column]) -> DataFrame:
+def refresh(df: DataFrame, fresh: DataFrame, key: str, stale: Column, rules: dict[str, Column],
+            blank: Sequence[str] = ()) -> DataFrame:
     """Overwrite columns of stale rows from ``fresh`` (unique on key).
 
     ``rules`` maps a column to its new value, written over ``fresh.<col>``
-    and null where the old value stays.
+    and null where the old value stays. Text columns in ``blank`` get '' for
+    null on every row, refreshed or not.
     """
     new = fresh.select(F.col(key).alias("_fk"), F.struct(*[c for c in fresh.columns if c != key]).alias("fresh"))
     out = df.withColumn("_stale", stale).join(new, (F.col(key) == F.col("_fk")) & F.col("_stale"), "left")
@@ -54,7 +56,7 @@ def refresh(df: DataFrame, fresh: DataFrame, key: str, stale: Column, rules: dic
         F.coalesce(F.when(F.col("_fk").isNotNull(), rules[c]), F.col(c)).alias(c) if c in rules else F.col(f"`{c}`")
         for c in df.columns
     ]
-    return out.select(*cols)
+    return out.select(*cols).na.fill("", list(blank)) if blank else out.select(*cols)
 
 
 def metadata_rules() -> dict[str, Column]:

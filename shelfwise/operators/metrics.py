@@ -41,14 +41,17 @@ def class_report(matrix: DataFrame) -> DataFrame:
     zero = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     return per.select(
         "clase", zero(F.col("tp"), F.col("predicted")).alias("precision"), zero(F.col("tp"), F.col("support")).alias("recall"),
-        zero(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"), "support", "tp",
+        zero(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"), "support", "tp", "predicted",
     )
 
 
 def summary(matrix: DataFrame, average: str = "macro") -> DataFrame:
-    """Macro F1 (or F1 of class 1 for ``'binary'``) and accuracy of a confusion table."""
+    """Macro F1 (or F1 of class 1 for ``'binary'``) and accuracy of a confusion table.
+
+    The macro mean is over the classes that occur or are predicted.
+    """
     rep = class_report(matrix)
-    f1 = F.avg("f1") if average == "macro" else F.max(F.when(F.col("clase") == 1, F.col("f1")))
+    f1 = F.avg(F.when(F.col("support") + F.col("predicted") > 0, F.col("f1"))) if average == "macro" else F.max(F.when(F.col("clase") == 1, F.col("f1")))
     return rep.agg(f1.alias("f1"), (F.sum("tp") / F.sum("support")).alias("accuracy"))
 
 

@@ -119,6 +119,14 @@ def near_constant(df: DataFrame, cols: Sequence[str], mode: str = "master",
         p = F.coalesce("p", F.lit(0.0))
         test = F.coalesce(F.col("one"), F.lit(True)) | (F.greatest(p, 1 - p) >= limit)
         return rows.select("column", test.alias("near_constant"))
+    if limit <= 0.5:
+        # No sketch can name the candidates: count every value.
+        counts = value_counts(df, cols)
+        counts = counts.where("value IS NOT NULL") if mode == "stage1" else counts
+        stats = counts.groupBy("column").agg((F.max("n") / F.sum("n")).alias("s"), F.count(F.lit(1)).alias("v"))
+        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+        test = (F.col("v") < 2) | (F.col("s") >= limit)
+        return names.join(stats, "column", "left").select("column", F.coalesce(test, F.lit(True)).alias("near_constant"))
     shares = top_shares(df, cols, skip_nulls=mode == "stage1")
     return shares.select("column", (F.col("single_value") | (F.coalesce("top_share", F.lit(1.0)) >= limit))
                          .alias("near_constant"))

@@ -11,12 +11,13 @@ from shelfwise.operators.groups import group_totals
 
 def leave_one_out_prior(df: DataFrame, who: str = "developer", label: str = "label", key: str = "appid",
                         strength: float = vocab.PRIOR_STRENGTH, null_prior: str = "median",
-                        name: str = "dev_success_prior", source: DataFrame | None = None) -> DataFrame:
+                        name: str = "dev_success_prior", source: DataFrame | None = None,
+                        global_name: str | None = None) -> DataFrame:
     """Share of viable items among the other items of the producer, pulled to the global share.
 
     Rows without a producer keep null, to be imputed with the median later
     (``null_prior='median'``), or take the global share (``'global'``).
-    ``source`` may give the same rows by a shorter way than ``df``.
+    ``source`` may give the same rows by a shorter way than ``df``; ``global_name`` adds the global share as a column.
     """
     viable = (F.col(label) >= 1).cast("int")
     source = df if source is None else source
@@ -28,7 +29,10 @@ def leave_one_out_prior(df: DataFrame, who: str = "developer", label: str = "lab
     prior = round_to((F.col("_gs") - F.col("_y") + a0) / (F.col("_gn") - 1 + a0 + b0), 4)
     if null_prior == "global":
         prior = F.coalesce(prior, round_to("_p0", 4))
-    return out.withColumn(name, prior).drop("_y", "_gn", "_gs", "_p0")
+    out = out.withColumn(name, prior)
+    if global_name:
+        out = out.withColumn(global_name, round_to("_p0", 4))
+    return out.drop("_y", "_gn", "_gs", "_p0")
 
 
 def producer_counts(df: DataFrame, who: str, viable: Column) -> DataFrame:

@@ -116,9 +116,9 @@ def _labelled(spark, sf):
 
 @query("a12_success_prior", f"""WITH {_DEV}, d AS (SELECT developer, count(*) AS n, sum(CAST(label >= 1 AS INTEGER)) AS s FROM lab
   GROUP BY 1) SELECT appid, developer, label, round_even((s - CAST(label >= 1 AS INTEGER) + p * 12.0) / (n - 1 + p * 12.0
-  + (1 - p) * 12.0), 4) AS dev_success_prior FROM lab JOIN d USING (developer), p0""")
+  + (1 - p) * 12.0), 4) AS dev_success_prior, round_even(p, 4) AS global_prior FROM lab JOIN d USING (developer), p0""")
 def a12(spark, sf):
-    return H.leave_one_out_prior(_labelled(spark, sf))
+    return H.leave_one_out_prior(_labelled(spark, sf), global_name="global_prior")
 
 
 _FIT = f"""{_DEV}, d AS (SELECT developer, count(*) AS n, CAST(sum(CAST(label >= 1 AS INTEGER)) AS BIGINT) AS k FROM lab GROUP BY 1),
@@ -259,10 +259,10 @@ def a22(spark, sf):
     return R.prevalence(C.tags(spark, sf), C.FLAGS).select("flag", round_to("prevalence", 6).alias("prevalence"))
 
 
-@query("a23_funnel_counts", f"""WITH {S.ENRICHED} SELECT count(*) AS n_catalogo, count(*) FILTER (WHERE {_COMPLETE_SQL}) AS n_metadata,
+@query("a23_funnel_counts", f"""WITH {S.ENRICHED} SELECT (SELECT count(*) FROM meta) AS n_catalogo, count(*) FILTER (WHERE {_COMPLETE_SQL}) AS n_metadata,
   count(*) FILTER (WHERE owners_lower_bound > 0) AS n_train FROM enriched""")
 def a23(spark, sf):
-    return A.funnel_counts(_enriched(spark, sf), R.metadata_complete(), F.col("owners_lower_bound") > 0)
+    return A.funnel_counts(C.metadata(spark, sf), _enriched(spark, sf), R.metadata_complete(), F.col("owners_lower_bound") > 0)
 
 
 @query("a24_segment_classes", f"""WITH {S.MASTER} SELECT label_name AS clase, count(*) AS "count" FROM master
@@ -271,11 +271,12 @@ def a24(spark, sf):
     return A.segment_classes(stored(spark, sf, "master"), "dev_experience", "AAA", "label")
 
 
-@query("a25_pseudonym_stats", f"""SELECT count(*) AS n_rows, count(DISTINCT CASE WHEN v THEN name END) AS name_names,
+@query("a25_pseudonym_stats", f"""SELECT count(*) AS n_rows, count(DISTINCT CASE WHEN v THEN trim(name) END) AS name_names,
   count(DISTINCT CASE WHEN v THEN sha256(name) END) AS name_ids FROM (
-  SELECT name, trim(name) <> '' AND lower(name) <> 'null' AS v FROM ({_NAMES_SQL}))""")
+  SELECT name, trim(name) <> '' AND lower(trim(name)) <> 'null' AS v FROM ({_NAMES_SQL} UNION ALL SELECT o_orderkey, o_orderpriority FROM orders))""")
 def a25(spark, sf):
-    return A.pseudonym_stats(T.pseudonymised(_names(spark, sf), {"name": "pid"}), {"name": "pid"})
+    bare = C.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("name"))
+    return A.pseudonym_stats(T.pseudonymised(_names(spark, sf).unionByName(bare), {"name": "pid"}), {"name": "pid"})
 
 
 @query("a26_scaling_stats", f"WITH {S.RAW} " + " UNION ALL ".join(

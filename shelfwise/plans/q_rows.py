@@ -9,7 +9,7 @@ from shelfwise.functions import features as X, parsing as P
 from shelfwise.functions.rounding import round_to
 from shelfwise.operators import aggregates as A, filters as R, groups as G, joins as J, ordered as O
 from shelfwise.plans import catalogue as C, catalogue_sql as S
-from shelfwise.plans.data import stage1
+from shelfwise.plans.data import stage1, stored
 from shelfwise.plans.master import enriched, with_flag_sums
 from shelfwise.plans.q_sources import store_payloads
 from shelfwise.plans.registry import query
@@ -234,10 +234,11 @@ def j6(spark, sf):
   publisher, CASE WHEN hit THEN '2020-01-01' ELSE release_date END AS release_date,
   CASE WHEN hit AND o_custkey % 3 = 0 THEN 77 ELSE metacritic_score END AS metacritic_score,
   CASE WHEN hit THEN CAST(o_custkey % 2 = 0 AS INTEGER) ELSE platform_mac END AS platform_mac
-  FROM (SELECT m.*, o_custkey, (metacritic_score = 0 OR developer = '') AND appid % 2 = 0 AS hit
+  FROM (SELECT m.* EXCLUDE (developer), CASE WHEN appid % 5 = 1 THEN '' ELSE developer END AS developer, o_custkey,
+    (metacritic_score = 0 OR developer = '' OR appid % 5 = 1) AND appid % 2 = 0 AS hit
     FROM meta m JOIN orders ON appid = o_orderkey)""")
 def j7(spark, sf):
-    m = C.metadata(spark, sf)
+    m = C.metadata(spark, sf).withColumn("developer", F.when(F.col("appid") % 5 != 1, F.col("developer")))
     cust = F.col("o_custkey")
     fresh = C.table(spark, sf, "orders").where("o_orderkey % 2 = 0").select(
         F.col("o_orderkey").alias("appid"),
@@ -246,7 +247,7 @@ def j7(spark, sf):
         F.array().cast("array<string>").alias("publishers"), F.lit("2020-01-01").alias("release_date"),
         F.when(cust % 3 == 0, F.lit(77).cast("bigint")).alias("metacritic_score"),
         F.lit(True).alias("platform_windows"), (cust % 2 == 0).alias("platform_mac"), F.lit(False).alias("platform_linux"))
-    return J.refresh(m, fresh, "appid", R.is_stale(m), J.metadata_rules()).select(
+    return J.refresh(m, fresh, "appid", R.is_stale(m), J.metadata_rules(), ["developer", "publisher", "release_date"]).select(
         "appid", "developer", "publisher", "release_date", "metacritic_score", "platform_mac")
 
 
@@ -337,17 +338,23 @@ def t7(spark, sf):
     return O.top_n(C.table(spark, sf, "orders"), [F.desc("o_totalprice"), "o_orderkey"], 1000).select("o_orderkey", "o_totalprice")
 
 
-@query("t8_seeded_sample", f"""WITH {S.RAW} SELECT appid, price, owners_lower_bound, name FROM meta
+@query("t8_seeded_sample", f"""WITH {S.MASTER} SELECT appid, round_even(price, 2) AS price, owners_lower_bound, label_name, name FROM master
   ORDER BY md5('7-' || CAST(appid AS VARCHAR)), appid LIMIT 1200""")
 def t8(spark, sf):
-    return O.sample_n(C.metadata(spark, sf), "appid", 1200, 7).select("appid", "price", "owners_lower_bound", "name")
+    rows = O.sample_n(stored(spark, sf, "master"), "appid", 1200, 7)
+    return rows.select("appid", round_to("price", 2).alias("price"), "owners_lower_bound", "label_name", "name")
 
 
-@query("t9_first_examples", f"""WITH {S.RAW} SELECT appid, developer, publisher FROM meta
-  WHERE developer <> '' AND publisher <> '' ORDER BY appid LIMIT 5""")
+@query("t9_first_examples", f"""WITH n AS ({_NAMES_SQL}) SELECT o_orderkey, trim(name) AS name,
+  CASE WHEN lower(trim(name)) = 'null' THEN '' ELSE substr(sha256(name), 1, 16) END AS name_id, o_clerk_like AS other,
+  substr(sha256(o_clerk_like), 1, 16) AS other_id FROM (SELECT n.*, o_orderstatus || ' ' || o_orderpriority AS o_clerk_like
+    FROM n JOIN orders USING (o_orderkey)) WHERE trim(name) <> '' ORDER BY o_orderkey LIMIT 5""")
 def t9(spark, sf):
-    m = R.valid_names(R.valid_names(C.metadata(spark, sf), "developer"), "publisher")
-    return O.top_n(m, ["appid"], 5).select("appid", "developer", "publisher")
+    other = C.table(spark, sf, "orders").select("o_orderkey", F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("other"))
+    rows = _names(spark, sf).join(other, "o_orderkey").where((P.strip(F.col("name")) != "") & (P.strip(F.col("other")) != ""))
+    first = O.top_n(rows, ["o_orderkey"], 5)
+    return first.select("o_orderkey", P.strip(F.col("name")).alias("name"), P.pseudonym(F.col("name")).alias("name_id"),
+                        P.strip(F.col("other")).alias("other"), P.pseudonym(F.col("other")).alias("other_id"))
 
 
 @query("w1_group_totals", """SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice,

@@ -55,7 +55,8 @@ def x4(spark, sf):
 
 @query("x5_safe_casts", """SELECT event_id, coalesce(try_cast(regexp_extract(props, '\\d+') AS BIGINT), 0) AS k,
   CASE WHEN event_type = 'click' THEN -1 ELSE CAST(user_id AS BIGINT) END AS i,
-  CASE WHEN event_type = 'view' THEN 0.0 ELSE value END AS d, event_type IN ('click', 'signup') AS b FROM events""")
+  CASE WHEN event_type = 'view' THEN 0.0 ELSE value END AS d, event_type IN ('click', 'signup') AS b,
+  CAST(floor(value) AS BIGINT) % 3 <> 0 AS n FROM events""")
 def x5(spark, sf):
     e = F.col("event_type")
     k = F.get_json_object("props", "$.k")
@@ -63,7 +64,8 @@ def x5(spark, sf):
         "event_id", P.safe_int(k).alias("k"),
         P.safe_int(F.when(e == "click", "1.0").otherwise(F.col("user_id").cast("string")), -1).alias("i"),
         P.safe_double(F.when(e == "view", "n/a").otherwise(F.col("value").cast("string"))).alias("d"),
-        P.safe_bool(F.when(e == "click", "YES").when(e == "signup", "true").when(e == "error", "no")).alias("b"))
+        P.safe_bool(F.when(e == "click", "YES").when(e == "signup", "true").when(e == "error", "no")).alias("b"),
+        P.safe_bool(F.floor("value") % 3).alias("n"))
 
 
 @query("x6_price_usd", """SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 0.0

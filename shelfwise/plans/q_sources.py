@@ -9,6 +9,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from shelfwise import vocab
+from shelfwise.functions import parsing as P
 from shelfwise.operators import aggregates as A, metrics
 from shelfwise.plans import catalogue as C, catalogue_sql as S
 from shelfwise.plans.data import master
@@ -223,12 +224,11 @@ def s14(spark, sf):
     return checks.join(counts, "table_name", "left").na.fill(0, ["n_rows"])
 
 
-@query("s15_pseudonymised_copy", """SELECT c_custkey, c_name, c_mktsegment, substr(sha256(c_name), 1, 16) AS dev_id,
+@query("s15_pseudonymised_copy", """SELECT *, substr(sha256(c_name), 1, 16) AS dev_id,
   substr(sha256(c_mktsegment), 1, 16) AS pub_id FROM customer""")
 def s15(spark, sf):
     path = scratch_dir(spark, "anon")
-    c = C.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    T.pseudonymised(c, {"c_name": "dev_id", "c_mktsegment": "pub_id"}).write.parquet(path)
+    T.pseudonymised(C.table(spark, sf, "customer"), {"c_name": "dev_id", "c_mktsegment": "pub_id"}).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -262,4 +262,4 @@ def x9(spark, sf):
   FROM (SELECT p_name AS v FROM part) GROUP BY 1""")
 def x10(spark, sf):
     names = C.table(spark, sf, "part").groupBy(F.col("p_name").alias("vocabulary")).agg(F.count(F.lit(1)).alias("n"))
-    return names.select("vocabulary", F.translate(F.lower("vocabulary"), " -/", "___").alias("slug"), "n")
+    return names.select("vocabulary", P.slug(F.col("vocabulary")).alias("slug"), "n")

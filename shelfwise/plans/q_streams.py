@@ -6,13 +6,17 @@ from pyspark.sql import functions as F
 
 from shelfwise.plans import catalogue as C
 from shelfwise.plans.registry import query
-from shelfwise.session import scratch_dir
+from shelfwise.session import path_kind, scratch_dir
 from shelfwise.streaming import ingest, reviews
 
 
 def _stream(spark, sf, name):
-    schema = C.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    """The stream of a table that is one file or a folder of parts."""
+    source = spark.readStream.schema(C.table(spark, sf, name).schema)
+    path = f"{sf}/{name}.parquet"
+    if path_kind(spark, path) == "folder":
+        return source.parquet(path)
+    return source.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 @query("st1_review_stream", """SELECT user_id AS appid, strftime(ts, '%Y-%m') AS month, count(*) AS review_count,
@@ -30,7 +34,7 @@ def st1(spark, sf):
         F.floor("value").cast("bigint"), start="2024-01-04 00:00:00")
     folder = scratch_dir(spark, "panel")
     reviews.write_day_totals(days, folder, scratch_dir(spark, "stream")).awaitTermination()
-    return reviews.read_month_panel(spark, folder, "appid")
+    return reviews.read_month_panel(spark, folder, "appid", days.schema)
 
 
 @query("st2_incremental_ingest", """SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (
@@ -40,4 +44,4 @@ def st2(spark, sf):
     folder = scratch_dir(spark, "ingest")
     ingest.ingest_new(lines, folder, scratch_dir(spark, "stream"), "l_orderkey",
                       ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]).awaitTermination()
-    return ingest.read_ingested(spark, folder).select("l_orderkey", "l_linenumber", "l_partkey")
+    return ingest.read_ingested(spark, folder, lines.schema).select("l_orderkey", "l_linenumber", "l_partkey")

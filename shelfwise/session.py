@@ -53,6 +53,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def path_kind(spark: SparkSession, path: str) -> str:
+    """'file', 'folder' or 'none'."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return "none"
+    return "folder" if store.getFileStatus(target).isDirectory() else "file"
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch folder that no later job reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

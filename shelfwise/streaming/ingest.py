@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.groups import first_per_key
 from shelfwise.operators.joins import unseen
+from shelfwise.session import path_kind
 
 
 def ingest_new(stream: DataFrame, folder: str, checkpoint: str, key: str, order: Sequence[str],
@@ -33,5 +34,8 @@ def ingest_new(stream: DataFrame, folder: str, checkpoint: str, key: str, order:
     )
 
 
-def read_ingested(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(folder).drop("batch")
+def read_ingested(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What has been stored; no rows where the stream has had none."""
+    if path_kind(spark, folder) == "none":
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)

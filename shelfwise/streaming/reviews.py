@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import top_k_per_key
+from shelfwise.session import path_kind
 
 
 def day_totals(stream: DataFrame, key: str, ts: Column, lateness: str, voted_up: Column, purchased: Column,
@@ -42,9 +43,11 @@ def write_day_totals(days: DataFrame, folder: str, checkpoint: str, trigger: dic
     )
 
 
-def read_month_panel(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    """The last version of every day, rolled up to months."""
-    versions = spark.read.parquet(folder)
+def read_month_panel(spark: SparkSession, folder: str, key: str, schema: T.StructType) -> DataFrame:
+    """The last version of every day, rolled up to months; no rows where the stream has had none."""
+    known = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    empty = path_kind(spark, folder) == "none"
+    versions = spark.createDataFrame([], known) if empty else spark.read.schema(known).parquet(folder)
     last = top_k_per_key(versions, [key, "day"], [F.desc("batch")], 1)
     return last.groupBy(key, F.date_format("day", "yyyy-MM").alias("month")).agg(
         *[F.sum(c).alias(c) for c in ("review_count", "positive_count", "negative_count", "steam_purchase_count",

@@ -32,6 +32,13 @@ TEMPORAL_COLS = ("release_year", "release_month")
 CATEGORICAL_COLS = ("dev_experience", "controller_support", "pub_experience", "price_tier", "release_quarter")
 DERIVED_COLS = ("dev_game_count", "pub_game_count", "dev_success_prior", "num_genres", "num_tags", "num_categories")
 FLAG_PREFIXES = ("genre_", "cat_", "tag_", "platform_", "is_")
+# Roles of columns by name, by prefix and otherwise, and the stage at which a role is known.
+ROLE_NAMES = (("id", ID_COLS), ("target_label", LABEL_COLS), ("target_raw", TARGET_COLS), ("outcome_postlaunch", POSTLAUNCH_COLS),
+              ("analysis_temporal", TEMPORAL_COLS), ("feature_categorical", CATEGORICAL_COLS), ("feature_derived", DERIVED_COLS))
+ROLE_PREFIXES = (("timeseries_postlaunch", ("ts_",)), ("feature_tag", FLAG_PREFIXES))
+OTHER_ROLE = "feature_numeric"
+ROLE_STAGES = {"feature_categorical": "pre", "feature_derived": "pre", "feature_tag": "pre", "feature_numeric": "pre",
+               "outcome_postlaunch": "post", "timeseries_postlaunch": "post"}
 # Derived features that are never offered as an explanation.
 DERIVED_SKIP = ("num_genres", "num_tags", "num_categories", "price_tier")
 STAGE1_NUMERIC = ("price", "supported_languages", "total_achievements", "total_dlcs", "min_ram_gb",
