@@ -95,21 +95,21 @@ def _outputs(estimator, name: str):
 
 
 def logistic(name: str = "lr", c: float = 1.0, weight_sum: float = 1.0, family: str = "multinomial",
-             weighted: bool = True, max_iter: int = 200, features: str = "features") -> LogisticRegression:
+             weighted: bool = True, max_iter: int = 2000, features: str = "features") -> LogisticRegression:
     """L2 penalty 1/(2C) against the summed loss, as Spark's mean loss needs it divided by the weight sum."""
     est = _outputs(LogisticRegression(family=family, maxIter=max_iter, tol=1e-6, standardization=False,
                                       regParam=1.0 / (c * weight_sum)), name).setFeaturesCol(features)
     return est.setWeightCol("weight") if weighted else est
 
 
-def perceptron(name: str, inputs: int, classes: int, hidden: Sequence[int] = (64, 32), max_iter: int = 60,
+def perceptron(name: str, inputs: int, classes: int, hidden: Sequence[int] = (64, 32), max_iter: int = 600,
                seed: int = 42) -> MultilayerPerceptronClassifier:
     """M7: two hidden layers, unweighted."""
     return _outputs(MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=max_iter, seed=seed,
                                                    blockSize=128), name)
 
 
-def owners_regressor(max_iter: int = 20, seed: int = 42) -> GBTRegressor:
+def owners_regressor(max_iter: int = 100, seed: int = 42) -> GBTRegressor:
     """M8: boosted trees on the log1p target."""
     return GBTRegressor(featuresCol="features", labelCol="log_owners", predictionCol="pred_owners", maxIter=max_iter,
                         maxDepth=5, stepSize=0.1, seed=seed)
@@ -149,8 +149,11 @@ class FourierFeatures:
         return df.withColumn(out, array_to_vector(project(vector_to_array("features"))))
 
 
-def fit_classifiers(train: DataFrame, classes: int, max_iter: int = 100) -> dict:
-    """M5-M7 on rows with ``features`` and ``label``: the fitted model of each family."""
+def fit_classifiers(train: DataFrame, classes: int, max_iter: int = 2000) -> dict:
+    """M5-M7 on rows with ``features`` and ``label``: the fitted model of each family.
+
+    The solvers stop on their tolerance; the limits are for models that don't get there, see ``convergence``.
+    """
     weighted = metrics.class_weights(train, "label").persist()
     # One row; the vector length comes from the data.
     n, width = weighted.select(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
@@ -178,12 +181,23 @@ def apply_classifiers(models: dict, df: DataFrame, names: Sequence[str] = MODELS
     return df
 
 
-def compare_models(scored: DataFrame, classes: int, names: Sequence[str] = MODELS) -> DataFrame:
-    """One metrics row per model."""
+def convergence(model) -> tuple[int | None, bool | None]:
+    """Iterations that a fitted classifier took, and whether it stopped before its limit; unknown for a loaded model."""
+    if not model.hasSummary:
+        return None, None
+    summary = model.summary() if callable(model.summary) else model.summary
+    return summary.totalIterations, summary.totalIterations < model.getMaxIter()
+
+
+def compare_models(scored: DataFrame, classes: int, names: Sequence[str] = MODELS, models: dict | None = None) -> DataFrame:
+    """One metrics row per model; with ``models`` also their iterations and whether they converged."""
     out = None
     for m in names:
         row = metrics.classification_metrics(scored, "label", f"pred_{m}", [F.col(f"probs_{m}")[i] for i in range(classes)])
         row = row.select(F.lit(m).alias("modelo"), "*")
+        if models:
+            took, ended = convergence(models[m])
+            row = row.withColumns({"iterations": F.lit(took).cast("int"), "converged": F.lit(ended).cast("boolean")})
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -215,7 +229,7 @@ class MacroAuc(Evaluator):
 
 
 def grid_search(train: DataFrame, classes: int, key: str, grid: Sequence[float] = (0.1, 1.0, 10.0), folds: int = 3,
-                max_iter: int = 50, parallelism: int = 2) -> tuple[DataFrame, Model]:
+                max_iter: int = 1000, parallelism: int = 2) -> tuple[DataFrame, Model]:
     """Mean macro AUC per C, and the best model refitted on all rows."""
     rows = metrics.class_weights(train, "label").withColumn("fold", fold_of(F.col(key), folds)).persist()
     n = rows.count()

@@ -16,6 +16,7 @@ from shelfwise.plans import catalogue as C, catalogue_sql as S, training as T
 from shelfwise.plans.data import stored
 from shelfwise.plans.q_sources import _CONF_SQL, _quality_scores
 from shelfwise.plans.registry import query
+from shelfwise.session import materialise
 
 CLASSES = list(vocab.LABEL_NAMES.values())
 
@@ -55,7 +56,7 @@ def m4(spark, sf):
 
 def _model_metrics(spark, sf, name):
     t = T.trained(spark, sf)
-    return M.compare_models(M.apply_classifiers(t.models, t.test, [name]), 3, [name])
+    return M.compare_models(M.apply_classifiers(t.models, t.test, [name]), 3, [name], t.models)
 
 
 @query("m5_logistic")
@@ -127,8 +128,8 @@ def m13(spark, sf):
 
 
 def _coefs(spark, sf):
-    t = T.trained(spark, sf)
-    return M.coefficients(t.train, t.models["lr"], M.feature_names(t.pre, t.features), CLASSES)
+    t = T.served(spark, sf)
+    return M.coefficients(t.rows, t.models["lr"], M.feature_names(t.pre, t.features), CLASSES)
 
 
 @query("m14_coefficients")
@@ -154,12 +155,12 @@ def m16(spark, sf):
 @query("m17_model_comparison")
 def m17(spark, sf):
     t = T.trained(spark, sf)
-    return M.compare_models(M.apply_classifiers(t.models, t.test).persist(), 3)
+    return M.compare_models(materialise(M.apply_classifiers(t.models, t.test).drop("features"), "scored"), 3, models=t.models)
 
 
 def _scored(spark, sf):
-    t, schema = T.trained(spark, sf), T.scenario_schema(spark, sf)
-    s1_pre, s1_model, _ = T.traction(spark, sf)
+    t, schema = T.served(spark, sf), T.scenario_schema(spark, sf)
+    s1_pre, s1_model = T.served_traction(spark, sf)
     states = Z.normalise(T.scenarios(spark, sf), schema, "scenario")
     rows = M.apply_classifiers(t.models, t.owners.transform(M.preprocess(t.pre, states)))
     rows = s1_model.transform(M.preprocess(s1_pre, rows.drop("features"))).withColumn("p_traction", vector_to_array("prob_s1")[1])
@@ -196,22 +197,22 @@ def _states(spark, sf):
 
 @query("m20_what_if")
 def m20(spark, sf):
-    return Z.what_if(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.trained(spark, sf)), "scenario")
+    return Z.what_if(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.served(spark, sf)), "scenario")
 
 
 @query("m21_best_package")
 def m21(spark, sf):
-    return Z.best_package(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.trained(spark, sf)), "scenario")
+    return Z.best_package(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.served(spark, sf)), "scenario")
 
 
 @query("m22_explanation")
 def m22(spark, sf):
-    return Z.explain(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.trained(spark, sf)), "scenario")
+    return Z.explain(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.served(spark, sf)), "scenario")
 
 
 @query("m23_similar_items")
 def m23(spark, sf):
-    t, schema = T.trained(spark, sf), T.scenario_schema(spark, sf)
+    t, schema = T.served(spark, sf), T.scenario_schema(spark, sf)
     items = M.preprocess(t.pre, stored(spark, sf, "master")).select("appid", vector_to_array("features").alias("v"))
     asked = M.preprocess(t.pre, Z.normalise(T.scenarios(spark, sf), schema, "scenario")) \
         .select(F.col("scenario").alias("appid"), vector_to_array("features").alias("v"))

@@ -30,6 +30,17 @@ class Trained:
     test: DataFrame
 
 
+@dataclass
+class Served:
+    """Models fitted on all rows, for scoring and explaining."""
+
+    features: M.Features
+    pre: PipelineModel
+    models: dict
+    owners: object
+    rows: DataFrame
+
+
 @lru_cache(maxsize=2)
 def _features(app_id: str, sf: str, name: str) -> M.Features:
     df = stored(SparkSession.active(), sf, name)
@@ -48,11 +59,15 @@ def split(df: DataFrame, label: str) -> DataFrame:
     return O.stratified_test_flag(df, label, "appid", SEED, TEST_SHARE)
 
 
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "master").withColumn("log_owners", F.log1p(F.col("owners_lower_bound").cast("double")))
+
+
 @lru_cache(maxsize=2)
 def _trained(app_id: str, sf: str) -> Trained:
     spark = SparkSession.active()
     f = features(spark, sf)
-    df = split(stored(spark, sf, "master").withColumn("log_owners", F.log1p(F.col("owners_lower_bound").cast("double"))), "label")
+    df = split(_labelled(spark, sf), "label")
     pre = M.fit_preprocessor(df.where(~F.col("is_test")), f)
     rows = materialise(M.preprocess(pre, df).select("appid", "label", "log_owners", "is_test", "features"), "train")
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
@@ -61,9 +76,37 @@ def _trained(app_id: str, sf: str) -> Trained:
 
 
 def trained(spark: SparkSession, sf: str) -> Trained:
+    """Models fitted on the training rows only, for evaluation on the others."""
     return _trained(spark.sparkContext.applicationId, sf)
 
 
+@lru_cache(maxsize=2)
+def _served(app_id: str, sf: str) -> Served:
+    spark = SparkSession.active()
+    f, df = features(spark, sf), _labelled(spark, sf)
+    pre = M.fit_preprocessor(df, f)
+    rows = materialise(M.preprocess(pre, df).select("appid", "label", "log_owners", "features"), "served")
+    return Served(f, pre, M.fit_classifiers(rows, len(vocab.LABEL_NAMES)), M.owners_regressor().fit(rows), rows)
+
+
+def served(spark: SparkSession, sf: str) -> Served:
+    return _served(spark.sparkContext.applicationId, sf)
+
+
+@lru_cache(maxsize=2)
+def _served_traction(app_id: str, sf: str):
+    spark = SparkSession.active()
+    f, df = features(spark, sf, "stage1"), stored(spark, sf, "stage1").withColumn("label", F.col("tiene_ventas"))
+    pre = M.fit_preprocessor(df, f)
+    rows = materialise(M.preprocess(pre, df).select("appid", "label", "features"), "served1")
+    return pre, M.logistic("s1", 1.0, float(rows.count()), family="binomial", weighted=False).fit(rows)
+
+
+def served_traction(spark: SparkSession, sf: str):
+    """The first-stage preprocessor and model, fitted on all rows."""
+    return _served_traction(spark.sparkContext.applicationId, sf)
+
+
 @lru_cache(maxsize=2)
 def _traction(app_id: str, sf: str):
     """The first-stage model; its test rows come scored."""
@@ -108,7 +151,7 @@ def scenarios(spark: SparkSession, sf: str) -> DataFrame:
         (k % 2).alias("genre_promo"), (k % 5 == 0).cast("int").alias("tag_brand_3"), F.lit(1).alias("no_such_feature"))
 
 
-def hit_scorer(t: Trained, model: str = "lr") -> Scorer:
+def hit_scorer(t: Trained | Served, model: str = "mlp") -> Scorer:
     """P(Hit) of one model; the input columns stay."""
     def score(df: DataFrame) -> DataFrame:
         out = M.apply_classifiers(t.models, M.preprocess(t.pre, df), [model])
