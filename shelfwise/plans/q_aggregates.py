@@ -214,29 +214,32 @@ def a19(spark, sf):
     return PR.near_constant(_near(spark, sf), _NEAR_COLS, "stage1")
 
 
-def _dictionary_sql() -> str:
-    numeric = ("price", "owners_lower_bound", "is_free", "platform_mac", "num_tags", "cat_r", "hub_followers", "dev_success_prior")
-    text = ("name", "developer", "price_tier", "release_quarter", "label_name")
-    parts = []
-    for c in numeric + text:
-        nz = f"round_even(avg(CAST({c} <> 0 AS INTEGER)) * 100, 1)" if c in numeric else "CAST(NULL AS DOUBLE)"
-        role = R.role_of(c)
-        near = "false" if role == "id" else (
-            f"(count(DISTINCT {c}) < 2 OR (SELECT max(n) FROM (SELECT count(*) AS n FROM master GROUP BY {c})) / count(*) >= 0.999)")
-        use = f"NOT {near}" if role.startswith("feature_") else "false"
-        parts.append(f"SELECT '{c}' AS \"column\", '{role}' AS role, '{R.stage_of(role)}' AS etapa, count(DISTINCT {c}) AS n_unique, "
-                     f"{nz} AS pct_nonzero, {near} AS near_constant, {use} AS use_as_feature FROM master")
-    return f"WITH {S.MASTER} " + " UNION ALL ".join(parts)
-
-
-@query("a20_dictionary", _dictionary_sql())
+# Roles spelled out once more, so that the twin does not lean on the library's rule table.
+_ROLE_SQL = """CASE WHEN c IN ('appid', 'name', 'developer', 'publisher', 'release_date') THEN 'id'
+  WHEN c IN ('label', 'label_name') THEN 'target_label' WHEN c IN ('owners_lower_bound', 'ccu') THEN 'target_raw'
+  WHEN c IN ('positive', 'negative', 'rating_porcentaje', 'metacritic_score') THEN 'outcome_postlaunch'
+  WHEN starts_with(c, 'ts_') THEN 'timeseries_postlaunch' WHEN c IN ('release_year', 'release_month') THEN 'analysis_temporal'
+  WHEN regexp_matches(c, '^(genre|cat|tag|platform|is)_') THEN 'feature_tag'
+  WHEN c IN ('dev_experience', 'pub_experience', 'controller_support', 'price_tier', 'release_quarter') THEN 'feature_categorical'
+  WHEN c IN ('dev_game_count', 'pub_game_count', 'dev_success_prior', 'num_genres', 'num_tags', 'num_categories') THEN 'feature_derived'
+  ELSE 'feature_numeric' END"""
+_TEXT_COLS = "name, developer, publisher, release_date, controller_support, dev_experience, pub_experience, release_quarter, price_tier, label_name"
+_PROFILE_SQL = f"""{S.MASTER}, cells AS (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM master) ON COLUMNS(*) INTO NAME c VALUE x),
+  profile AS (SELECT c, count(*) AS n_unique, count(*) < 2 OR max(k) / sum(k) >= 0.999 AS flat
+    FROM (SELECT c, x, count(*) AS k FROM cells GROUP BY ALL) GROUP BY 1)"""
+
+
+@query("a20_dictionary", f"""WITH {_PROFILE_SQL}, nonzero AS (SELECT c, round_even(avg(CAST(x <> 0 AS INTEGER)) * 100, 1) AS pct_nonzero
+  FROM (UNPIVOT (SELECT COLUMNS(* EXCLUDE ({_TEXT_COLS}))::DOUBLE FROM master) ON COLUMNS(*) INTO NAME c VALUE x) GROUP BY 1),
+  roles AS (SELECT *, {_ROLE_SQL} AS role FROM profile LEFT JOIN nonzero USING (c))
+  SELECT c AS "column", role, CASE WHEN starts_with(role, 'feature_') THEN 'pre' WHEN ends_with(role, '_postlaunch') THEN 'post' ELSE 'meta' END AS etapa,
+  n_unique, pct_nonzero, role <> 'id' AND flat AS near_constant, starts_with(role, 'feature_') AND NOT flat AS use_as_feature FROM roles""")
 def a20(spark, sf):
-    cols = ["price", "owners_lower_bound", "is_free", "platform_mac", "num_tags", "cat_r", "hub_followers", "dev_success_prior",
-            "name", "developer", "price_tier", "release_quarter", "label_name"]
-    return PR.dictionary(stored(spark, sf, "master").select(*cols)).drop("position", "dtype")
+    return PR.dictionary(stored(spark, sf, "master")).drop("position", "dtype")
 
 
-_NUM = ("price", "total_achievements", "supported_languages", "min_ram_gb")
+_NUM = ("price", "total_achievements", "total_dlcs", "supported_languages", "min_ram_gb", "owners_lower_bound", "ccu", "rating_porcentaje",
+        "positive", "negative", "metacritic_score", "hub_followers")
 
 
 @query("a21_numeric_defaults", f"WITH {S.RAW} " + " UNION ALL ".join(
@@ -246,11 +249,11 @@ def a21(spark, sf):
     return PR.numeric_defaults(C.metadata(spark, sf), _NUM)
 
 
-@query("a21_category_defaults", f"WITH {S.RAW}, c AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM meta GROUP BY 2" for c in ("controller_support", "publisher"))
+@query("a21_category_defaults", f"WITH {S.MASTER}, c AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS n FROM master GROUP BY 2" for c in vocab.CATEGORICAL_COLS)
     + """) SELECT "column", value, n, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) = 1 AS is_default FROM c""")
 def a21_categories(spark, sf):
-    return PR.category_defaults(C.metadata(spark, sf), ["controller_support", "publisher"])
+    return PR.category_defaults(stored(spark, sf, "master"), vocab.CATEGORICAL_COLS)
 
 
 @query("a22_prevalence", f"""WITH {S.RAW} SELECT flag, round_even(avg(CAST(v AS DOUBLE)), 6) AS prevalence
@@ -286,27 +289,21 @@ def a26(spark, sf):
         "feature", round_to("mean", 6).alias("mean"), round_to("scale", 6).alias("scale"))
 
 
-@query("a27_master_audit", f"""WITH {S.MASTER} SELECT count(*) AS n_rows, 83 AS n_columns, CAST(0 AS BIGINT) AS n_nulls, {', '.join(
+@query("a27_master_audit", f"""WITH {_PROFILE_SQL} SELECT count(*) AS n_rows, 83 AS n_columns, CAST(0 AS BIGINT) AS n_nulls, {', '.join(
     f"round_even(CAST(count(*) FILTER (WHERE label = {k}) AS DOUBLE) / count(*), 3) AS share_{v.lower()}"
-    for k, v in vocab.LABEL_NAMES.items())} FROM master""")
+    for k, v in vocab.LABEL_NAMES.items())}, (SELECT CAST(count(*) AS INTEGER) FROM profile WHERE flat) AS n_near_constant FROM master""")
 def a27(spark, sf):
     m = stored(spark, sf, "master")
     near = len(m.columns) - len(PR.kept_columns(m, m.columns))
-    return A.master_audit(m, near).drop("n_near_constant")
+    return A.master_audit(m, near)
 
 
-_MASTER_OUT = ("appid", "dev_game_count", "dev_experience", "pub_game_count", "pub_experience", "release_year", "release_month",
-               "release_quarter", "price", "price_tier", "short_desc_len", "num_genres", "num_tags", "num_categories",
-               "is_early_access", "ts_total_reviews", "ts_months_active", "ts_avg_playtime_hrs", "ts_positive_ratio", "label",
-               "label_name", "dev_success_prior") + C.FLAGS
-
-
-@query("l1_master", f"WITH {S.MASTER} SELECT {', '.join(_MASTER_OUT)} FROM master")
+@query("l1_master", f"WITH {S.MASTER} SELECT * FROM master")
 def l1(spark, sf):
-    return master(spark, sf).select(*_MASTER_OUT)
+    return master(spark, sf)
 
 
-_STAGE1_OUT = ("appid", "name", "owners_lower_bound", *vocab.STAGE1_NUMERIC, *vocab.CATEGORICAL_COLS)
+_STAGE1_OUT = ("appid", "name", "owners_lower_bound", *vocab.STAGE1_NUMERIC, *vocab.CATEGORICAL_COLS, *_FLAG_COLS)
 
 
 @query("l1_stage1", f"""WITH {S.ENRICHED} SELECT {', '.join(_STAGE1_OUT)}, CAST(owners_lower_bound > 0 AS INTEGER) AS tiene_ventas

@@ -14,6 +14,7 @@ from shelfwise.functions.rounding import round_to
 from shelfwise.operators import filters as R, metrics as E, models as M, neighbours as N, ordered as O, scoring as Z
 from shelfwise.plans import catalogue as C, catalogue_sql as S, training as T
 from shelfwise.plans.data import stored
+from shelfwise.plans.q_aggregates import _PROFILE_SQL, _ROLE_SQL
 from shelfwise.plans.q_sources import _CONF_SQL, _quality_scores
 from shelfwise.plans.registry import query
 from shelfwise.session import materialise
@@ -21,7 +22,9 @@ from shelfwise.session import materialise
 CLASSES = list(vocab.LABEL_NAMES.values())
 
 
-@query("m1_select_features")
+@query("m1_select_features", f"""WITH {_PROFILE_SQL}, roles AS (SELECT c, flat, {_ROLE_SQL} AS role FROM profile)
+  SELECT c AS feature, CASE role WHEN 'feature_tag' THEN 'boolean' WHEN 'feature_categorical' THEN 'categorical' ELSE 'numeric' END AS kind
+  FROM roles WHERE starts_with(role, 'feature_') AND (role = 'feature_categorical' OR NOT flat)""")
 def m1(spark, sf):
     return M.feature_catalogue(stored(spark, sf, "master"), T.features(spark, sf))
 

@@ -142,15 +142,23 @@ def p15(spark, sf):
     return t.select(*R.columns_with_prefix(t, ("genre_", "cat_")))
 
 
-@query("p16_roles", f"""WITH {S.RAW} SELECT t.*, (SELECT count(*) FROM meta) AS n_rows FROM (VALUES
-  ('appid', 'id', 'meta'), ('developer', 'id', 'meta'), ('owners_lower_bound', 'target_raw', 'meta'),
-  ('positive', 'outcome_postlaunch', 'post'), ('controller_support', 'feature_categorical', 'pre'),
-  ('platform_windows', 'feature_tag', 'pre'), ('price', 'feature_numeric', 'pre')) t(column_name, role, etapa)""")
+_META_ROLES = (
+    ("appid", "id", "meta"), ("name", "id", "meta"), ("developer", "id", "meta"), ("publisher", "id", "meta"), ("release_date", "id", "meta"),
+    ("owners_lower_bound", "target_raw", "meta"), ("ccu", "target_raw", "meta"), ("positive", "outcome_postlaunch", "post"),
+    ("negative", "outcome_postlaunch", "post"), ("rating_porcentaje", "outcome_postlaunch", "post"), ("metacritic_score", "outcome_postlaunch", "post"),
+    ("controller_support", "feature_categorical", "pre"), ("platform_windows", "feature_tag", "pre"), ("platform_mac", "feature_tag", "pre"),
+    ("platform_linux", "feature_tag", "pre"), ("is_free", "feature_tag", "pre"), ("price", "feature_numeric", "pre"),
+    ("hub_followers", "feature_numeric", "pre"), ("total_achievements", "feature_numeric", "pre"), ("total_dlcs", "feature_numeric", "pre"),
+    ("supported_languages", "feature_numeric", "pre"), ("min_ram_gb", "feature_numeric", "pre"))
+
+
+@query("p16_roles", f"""WITH {S.RAW} SELECT t.*, n_rows FROM (VALUES {', '.join(map(str, _META_ROLES))}) t(column_name, role, etapa)
+  JOIN (SELECT c AS column_name, count(*) AS n_rows FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM meta) ON COLUMNS(*) INTO NAME c VALUE x)
+    GROUP BY 1) USING (column_name)""")
 def p16(spark, sf):
     m = C.metadata(spark, sf)
-    cols = ["appid", "developer", "owners_lower_bound", "positive", "controller_support", "platform_windows", "price"]
-    counts = m.agg(*[F.count(c).alias(c) for c in cols]).unpivot([], cols, "column_name", "n_rows")
-    roles = spark.createDataFrame([(c, R.role_of(c), R.stage_of(R.role_of(c))) for c in cols],
+    counts = m.agg(*[F.count(c).alias(c) for c in m.columns]).unpivot([], m.columns, "column_name", "n_rows")
+    roles = spark.createDataFrame([(c, R.role_of(c), R.stage_of(R.role_of(c))) for c in m.columns],
                                   "column_name string, role string, etapa string")
     return roles.join(counts, "column_name")
 
