@@ -16,7 +16,8 @@ HEADLINE = (
     "p11_integrity_audit", "a1_row_count", "a2_distinct_valid", "a3_flag_totals", "a5_review_panel", "a6_collapse_panel",
     "a9_price_histogram", "a10_owners_by_flag", "a11_hits_by_quarter", "a12_success_prior", "a14_posterior", "a15_null_profile",
     "a17_near_constant", "p1_dedupe_keep_first", "w1_group_totals", "w3_top_k_per_group", "x20_pseudonym", "t8_seeded_sample",
-    "m3_stratified_split", "j10_nearest_vectors", "l1_master",
+    "m3_stratified_split", "j10_nearest_vectors", "l1_master", "l1_stage1", "m1_select_features", "s9_typed_export", "s11_master_export",
+    "st1_review_stream", "st2_incremental_ingest",
 )
 
 
