@@ -12,7 +12,8 @@ one, each moved by its own place; only the few alignments left are intersected w
 they name. Runs of agreeing words as long as a window are exact phrase matches; the other positions that agree near them
 give proximity matches.
 
-Everything is joins and aggregates of columns, and no side is broadcast unless Spark has found it small.
+Everything is joins and aggregates of columns. A side is broadcast only if it counts at most ``SMALL`` rows; beyond that the
+join shuffles.
 
 Defined cases: a null or empty text has no words; an item with fewer words than a window, but not none, is one window; an item
 without words is in no row; repeated rows are judged alike; ids may be null; other columns are not read.
@@ -25,14 +26,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.llm.aliases import LOWER, UPPER
 from shelfwise.llm.common import stored
 
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 10
+#: Tables that count fewer rows than this are broadcast; larger ones are joined by a shuffle.
+SMALL = 200_000
 
 
 def words(text: Column) -> Column:
-    """Words of digits, letters a-z and all characters beyond ASCII, after A-Z are lower-cased. Null has none."""
-    lower = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
-    return F.coalesce(F.array_remove(F.split(lower, BETWEEN), ""), F.array().cast("array<string>"))
+    """Words of digits, letters and all characters beyond ASCII, before A-Z are lower-cased. Null has none."""
+    return F.coalesce(F.array_remove(F.split(text, BETWEEN), ""), F.array().cast("array<string>"))
+
+
+def folded(word: Column) -> Column:
+    """A-Z in lower case, all else as it is; ``lower`` would change other alphabets too."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+
+
+def small(df: DataFrame, bound: int = SMALL) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``bound`` rows, which are counted first."""
+    return F.broadcast(df) if df.count() <= bound else df
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", terms: DataFrame | None = None) -> DataFrame:
@@ -40,20 +52,20 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ter
 
     ``doc_id`` is set in the postings of the empty token only, whose ``pos`` is the number of words of the row.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w"))
-    one = F.struct(F.lit("").alias("token"), F.size("w").alias("pos"), F.col("doc_id"))
-    listed = F.transform("w", lambda t, i: F.struct(t.alias("token"), i.alias("pos"), F.lit(None).cast("long").alias("doc_id")))
-    posts = rows.select("row", F.explode(F.concat(listed, F.array(one.cast(
-        "struct<token:string,pos:int,doc_id:bigint>")))).alias("p")).select("p.token", "row", "p.pos", "p.doc_id")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), words(F.col(text)).alias("w"))
+    rows = rows.select("row", "doc_id", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "word"))  # the last is at the number of words
+    posts = rows.select(folded(F.col("word")).alias("token"), "row", "pos", F.when(F.col("word") == "", F.col("doc_id")).alias("doc_id"))
     if terms is not None:
-        posts = posts.join(terms.select("token").unionByName(docs.sparkSession.createDataFrame([("",)], "token string")).distinct(), "token")
+        wanted, _ = stored(terms.select("token").unionByName(docs.sparkSession.createDataFrame([("",)], "token string")).distinct(), "terms")
+        posts = posts.join(small(wanted), "token")
     return stored(posts.sortWithinPartitions("token"), "postings")[0]
 
 
 def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item, item_id, n, p, token): every word of every row of ``items``."""
     rows = items.select(F.monotonically_increasing_id().alias("item"), F.col(item_id).alias("item_id"), words(F.col(text)).alias("w"))
-    return stored(rows.select("item", "item_id", F.size("w").alias("n"), F.posexplode("w").alias("p", "token")), "items")[0]
+    rows = rows.select("item", "item_id", F.size("w").alias("n"), F.posexplode("w").alias("p", "token"))
+    return stored(rows.withColumn("token", folded(F.col("token"))), "items")[0]
 
 
 def anchor_terms(terms: DataFrame, counts: DataFrame, width: int = WIDTH, depth: int = 3) -> DataFrame:
@@ -74,12 +86,12 @@ def anchor_terms(terms: DataFrame, counts: DataFrame, width: int = WIDTH, depth:
 
 def alignments(index: DataFrame, anchors: DataFrame, depth: int = 3) -> DataFrame:
     """(item, row, shift): where the ``depth`` rarest words of some window of the item agree; ``shift`` is the item's first place."""
-    found = anchors.join(index.select(F.col("token").alias("t0"), "row", F.col("pos").alias("at")), "t0").withColumn(
+    found = small(anchors).join(index.select(F.col("token").alias("t0"), "row", F.col("pos").alias("at")), "t0").withColumn(
         "shift", F.col("at") - F.col("p0"))
     found = found.select("item", "row", "shift", *[c for i in range(1, depth) for c in (f"p{i}", f"t{i}")])
     for i in range(1, depth):
         used = anchors.select(F.col(f"t{i}").alias("token")).distinct()
-        posts = index.join(used, "token", "left_semi").select(F.col("token").alias(f"t{i}"), "row", F.col("pos").alias("at"))
+        posts = index.join(small(used), "token", "left_semi").select(F.col("token").alias(f"t{i}"), "row", F.col("pos").alias("at"))
         rest = [c for j in range(i + 1, depth) for c in (f"p{j}", f"t{j}")]
         found = found.withColumn("at", F.col("shift") + F.col(f"p{i}")).join(posts, [f"t{i}", "row", "at"], "left_semi").select(
             "item", "row", "shift", *rest).distinct()
@@ -92,7 +104,7 @@ def matches(index: DataFrame, terms: DataFrame, found: DataFrame, width: int = W
     ``near`` counts the words of the item that agree with the row at the same shift anywhere, the proximity of the match.
     """
     wanted = found.join(terms, "item").select("item", "item_id", "n", "p", "token", "row", (F.col("shift") + F.col("p")).alias("pos"), "shift")
-    posts = index.join(found.select("row").distinct(), "row", "left_semi").select("token", "row", "pos")
+    posts = index.join(small(found.select("row").distinct()), "row", "left_semi").select("token", "row", "pos")
     agree = wanted.join(posts, ["token", "row", "pos"])
     line = Window.partitionBy("item", "row", "shift")
     runs = agree.withColumn("g", F.col("p") - F.row_number().over(line.orderBy("p")))
