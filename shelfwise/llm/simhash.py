@@ -1,8 +1,8 @@
 """SimHash near-duplicates by segments with one wildcard bit.
 
 Two 64-bit fingerprints that differ in at most three bits are cut into two segments of 32 bits; one of the segments then
-differs in at most one bit. So each fingerprint is indexed under both segments, once for each of the 32 bits left out, and an
-equality join on (segment, bit left out, rest) meets every such pair. Candidates are verified on all 64 bits.
+differs in at most one bit (d bits need d // 2 + 1 segments). So each fingerprint is indexed under all segments, once for each
+bit left out, and an equality join on (segment, bit left out, rest) meets every such pair. Candidates are verified on all 64 bits.
 
 Only different fingerprints are joined: copies are one class. Inside a bucket the verified links are reduced to a spanning
 forest before they leave the task, so what is written grows with the members and not with the pairs. A bucket of more than
@@ -139,13 +139,19 @@ def _links(most: int, limit: int | None):
 
 
 def links(fps: DataFrame, most: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): links that join all fingerprints (column ``fp``, distinct) differing in at most ``most`` (up to 3) bits."""
-    if not 0 <= most <= 3:
-        raise ValueError("two segments with one wildcard find up to three differing bits")
-    half = F.when(F.col("j") < 32, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
-    rest = half.bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, j % 32)")))
-    keys = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("j")).select(
-        (F.expr("shiftleft(CAST(j AS BIGINT), 32)") + rest).alias("key"), "fp")
+    """(a, b): links that join all fingerprints (column ``fp``, distinct) differing in at most ``most`` bits.
+
+    There are ``most`` // 2 + 1 segments. The fewer bits a segment has, the more chance meetings there are to verify.
+    """
+    parts = most // 2 + 1
+    keys = []
+    for bit in range(64):
+        low, high = next((64 * i // parts, 64 * (i + 1) // parts) for i in range(parts) if bit < 64 * (i + 1) // parts)
+        mask = (1 << high) - (1 << low) & ~(1 << bit)
+        rest = F.shiftrightunsigned(F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)), low)
+        # The key is the bit and the rest of its segment, or a hash of them where they don't fit; links are verified anyway.
+        keys.append(rest + (bit << 32) if high - low <= 32 else F.xxhash64(rest, F.lit(bit)))
+    keys = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
     schema = "a long, b long, key long"
     first, _ = stored(keys.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(_links(most, bucket), schema), "links")
     out = first.where("b IS NOT NULL").select("a", "b")

@@ -33,11 +33,12 @@ def test_merged_shards_find_what_starts_earlier(width, shard):
 def test_merged_order_is_the_sorted_order_of_all_rotations():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"abc") for _ in range(rng.randint(100, 160))) for _ in range(12)]
-    shards = suffixes.Shards(strings, 100)
-    order, interval = shards.merged(200)
-    prefix = [(strings[o] * 2)[p:p + 100] for o, p in zip(shards.owner[order], shards.place[order])]
-    assert prefix == sorted(prefix) and sorted(order.tolist()) == list(range(len(shards.text)))
-    assert [a == b for a, b in zip(prefix, prefix[1:])] == (np.diff(interval) == 0).tolist()
+    shards = [suffixes.Shard(strings[i:i + 5], 100) for i in (0, 5, 10)]
+    merged = suffixes.Merged(shards, 100)
+    prefix = [(s * 2)[p:p + 100] for s in strings for p in range(len(s))]
+    prefix = [prefix[r] for r in merged.order]
+    assert prefix == sorted(prefix) and sorted(merged.order.tolist()) == list(range(sum(map(len, strings))))
+    assert [a == b for a, b in zip(prefix, prefix[1:])] == (np.diff(merged.interval) == 0).tolist()
 
 
 @pytest.mark.parametrize("n", [0, 99, 100, 101, 500, 5000])

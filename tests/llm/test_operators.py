@@ -224,14 +224,15 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [simhash.BUCKET, 4])
-def test_simhash(spark, docs, none, bucket):
+@pytest.mark.parametrize("bucket,most", [(simhash.BUCKET, 3), (4, 3), (simhash.BUCKET, 7), (simhash.BUCKET, 1)])
+def test_simhash(spark, docs, none, bucket, most):
     fps = simhash.with_fingerprint(docs).select("fp").distinct()
     rng = random.Random(9)
     f = [rng.getrandbits(64) - 2 ** 63 for _ in range(20)]
+    f += [x ^ (rng.getrandbits(63) & rng.getrandbits(63) & rng.getrandbits(63) & rng.getrandbits(63)) for x in f for _ in range(3)]
     f += [x ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for x in f for _ in range(6)]
     fps = fps.unionByName(spark.createDataFrame([(x,) for x in set(f)], "fp long")).distinct()
-    got = {r.node: r.root for r in components.components(simhash.links(fps, bucket=bucket)).collect()}
+    got = {r.node: r.root for r in components.components(simhash.links(fps, most, bucket)).collect()}
     all_ = sorted(r.fp for r in fps.collect())
     u, root = np.array(all_, np.int64).view(np.uint64), {x: x for x in all_}
 
@@ -241,7 +242,7 @@ def test_simhash(spark, docs, none, bucket):
         return x
 
     for i, x in enumerate(all_):
-        for j in np.flatnonzero(np.bitwise_count(u ^ u[i]) <= 3):
+        for j in np.flatnonzero(np.bitwise_count(u ^ u[i]) <= most):
             a, b = find(x), find(all_[j])
             root[max(a, b)] = min(a, b)
     assert got == {x: find(x) for x in all_ if find(x) != x}
