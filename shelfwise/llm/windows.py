@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm import sketch
 from shelfwise.llm.common import LAST_ID, mixed, stored, utf8
@@ -31,7 +31,7 @@ BASE = np.uint64(0x5851F42D4C957F2D)
 #: Its inverse modulo 2^64, so that sums of powers can be moved.
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 PIECE = 1 << 20
-HELD = 1 << 21
+HELD = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 _blank = np.zeros(256, bool)
 _blank[list(b" \t\n\v\f\r")] = True
@@ -102,27 +102,58 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[cut], np.diff(np.append(cut, len(values)))
 
 
-def _settled(rows: list) -> pd.DataFrame:
-    """Candidates of a task: repeats inside it as spans (d1 null), and its first starts with their digests."""
+FOUND = "doc long, tag long, pos int, size int, d1 long, d2 int"
+SPANS = "doc long, tag long, pos int, size int"
+
+
+def _merged(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
+    """Places as spans of consecutive ones."""
+    order = np.lexsort((pos, tag, doc))
+    doc, tag, pos = doc[order], tag[order], pos[order]
+    same = np.append(False, (np.diff(doc) == 0) & (np.diff(tag) == 0) & (np.diff(pos) <= 1))
+    cut = np.flatnonzero(~same[:len(doc)])
+    size = pos[np.append(cut[1:], len(doc)) - 1] - pos[cut] + 1 if len(doc) else pos
+    return pd.DataFrame({"doc": doc[cut], "tag": tag[cut], "pos": pos[cut].astype(np.int32), "size": size.astype(np.int32)})
+
+
+def settle_part(rows: list) -> pd.DataFrame:
+    """Candidates of a task as (doc, tag, pos, digest): repeats inside it as spans, and its first starts, with size 0."""
     doc, tag, pos, digest = (np.concatenate(x) for x in zip(*rows))
     first, later = first_starts(digest, doc, pos)
-    at = np.flatnonzero(later)
-    order = at[np.lexsort((pos[at], tag[at], doc[at]))]
-    same = np.append(False, (np.diff(doc[order]) == 0) & (np.diff(tag[order]) == 0) & (np.diff(pos[order]) <= 1))
-    cut = np.flatnonzero(~same[:len(order)])
-    size = pos[order][np.append(cut[1:], len(order)) - 1] - pos[order][cut] + 1 if len(order) else cut
-    n = len(cut)
-    none = pd.array([None] * n, "Int64")
-    spans = pd.DataFrame({"doc": doc[order][cut], "tag": tag[order][cut], "pos": pos[order][cut], "size": size, "d1": none, "d2": none})
-    sent = pd.DataFrame({"doc": doc[first], "tag": tag[first], "pos": pos[first], "size": 1, "d1": pd.array(digest[first, 0], "Int64"),
-                         "d2": pd.array(digest[first, 1], "Int64")})
-    return pd.concat([spans, sent])
+    spans = _merged(doc[later], tag[later], pos[later]).assign(d2=np.int32(0))
+    spans["d1"] = spans.tag  # only deals them out
+    sent = pd.DataFrame({"doc": doc[first], "tag": tag[first], "pos": pos[first].astype(np.int32), "size": np.int32(0),
+                         "d1": digest[first, 0], "d2": digest[first, 1].astype(np.int32)})
+    return pd.concat([spans, sent])[["doc", "tag", "pos", "size", "d1", "d2"]]
+
+
+def settle_all(found: DataFrame) -> DataFrame:
+    """The spans of all parts: those settled before, and the starts that are not the first of their digest anywhere."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        head = None  # digest, doc and pos of the group that may go on
+        for pdf in batches:
+            yield pdf.loc[pdf["size"] > 0, ["doc", "tag", "pos", "size"]]
+            pdf = pdf[pdf["size"] == 0]
+            if not len(pdf):
+                continue
+            cols = np.stack([pdf[c].to_numpy(np.int64) for c in ("d1", "d2", "doc", "pos")], axis=1)
+            tag = pdf.tag.to_numpy()
+            if head is not None:
+                cols, tag = np.concatenate([head, cols]), np.append(0, tag)
+            same = np.append(False, (cols[1:, :2] == cols[:-1, :2]).all(1))
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(cols))))
+            late = (cols[:, 2:] != cols[first][:, 2:]).any(1)
+            yield _merged(cols[late, 2], tag[late], cols[late, 3])
+            head = cols[first[-1]][None]
+
+    return found.repartition("d1").sortWithinPartitions("d1", "d2", "doc", "pos").mapInPandas(run, SPANS)
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc, tag, spans): for every row of ``docs`` (doc, tag, text) with some, the runs of windows that start earlier elsewhere."""
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    maps = sketch.build(docs.select("text"), lambda pdf: (window_hashes(b, width) for b in utf8(pdf.text)), sketch.bits_for(size // 6))
+    maps = sketch.build(docs.select("text"), lambda pdf: (window_hashes(b, width) for b in utf8(pdf.text)), sketch.bits_for(size // 12))
     shared = docs.sparkSession.sparkContext.broadcast(maps)
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,21 +166,22 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 text = b" ".join(words := word_list(data))
                 ends = np.cumsum([len(w) + 1 for w in words]) - 1
                 starts = np.append(0, ends[:-1] + 1)
-                digest = b"".join(hashlib.blake2b(text[s:e], digest_size=16).digest() for s, e in zip(
+                digest = b"".join(hashlib.blake2b(text[s:e], digest_size=12).digest() + b"\0\0\0\0" for s, e in zip(
                     starts[pos].tolist(), ends[pos + width - 1].tolist()))
                 rows.append((np.full(len(pos), doc), np.full(len(pos), tag), pos, np.frombuffer(digest, np.int64).reshape(-1, 2)))
                 held += len(pos)
                 if held >= HELD:
-                    yield _settled(rows)
+                    yield settle_part(rows)
                     rows, held = [], 0
         if held:
-            yield _settled(rows)
+            yield settle_part(rows)
+
+    return gathered(settle_all(docs.mapInPandas(candidates, FOUND)))
+
 
-    found, _ = stored(docs.mapInPandas(candidates, "doc long, tag long, pos long, size long, d1 long, d2 long"), "windows")
-    order = Window.partitionBy("d1", "d2").orderBy("doc", "pos")
-    late = found.where("d1 IS NOT NULL").withColumn("r", F.rank().over(order)).where("r > 1")
-    spans = found.where("d1 IS NULL").select("doc", "tag", "pos", "size").unionByName(late.select("doc", "tag", "pos", "size"))
-    return spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("pos", "size")).alias("spans"))  # at most the document's windows
+def gathered(spans: DataFrame) -> DataFrame:
+    """(doc, tag, spans): the spans of each row, at most one for each of its places."""
+    return spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("pos", "size")).alias("spans"))
 
 
 def covered(spans, n: int, width: int) -> np.ndarray:
