@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,9 +27,9 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds == 0
 
 
-def utf8(texts: pd.Series) -> list[bytes]:
-    """Texts as UTF-8; null is empty."""
-    return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
+def utf8(texts: pd.Series) -> Iterator[bytes]:
+    """Texts as UTF-8, one at a time; null is empty."""
+    return (t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from shelfwise.llm.common import mixed, stored
 
 BLOCK_BITS = 20
 MAX_BITS = 29
-HELD = 1 << 22
+HELD = 1 << 20
 ROWS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
