@@ -34,8 +34,10 @@ def ingest_new(stream: DataFrame, folder: str, checkpoint: str, key: str, order:
     )
 
 
-def read_ingested(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """What has been stored; no rows where the stream has had none."""
+def read_ingested(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
+    """What has been stored. With the rows' ``schema`` a stream that has had no rows gives none; without it is an error."""
+    if schema is None:
+        return spark.read.parquet(folder).drop("batch")
     if path_kind(spark, folder) == "none":
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(folder)

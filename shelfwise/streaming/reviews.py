@@ -43,11 +43,17 @@ def write_day_totals(days: DataFrame, folder: str, checkpoint: str, trigger: dic
     )
 
 
-def read_month_panel(spark: SparkSession, folder: str, key: str, schema: T.StructType) -> DataFrame:
-    """The last version of every day, rolled up to months; no rows where the stream has had none."""
-    known = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    empty = path_kind(spark, folder) == "none"
-    versions = spark.createDataFrame([], known) if empty else spark.read.schema(known).parquet(folder)
+def read_month_panel(spark: SparkSession, folder: str, key: str, schema: T.StructType | None = None) -> DataFrame:
+    """The last version of every day, rolled up to months.
+
+    With the ``schema`` of the day totals a stream that has had no rows gives none; without it that is an error.
+    """
+    if schema is None:
+        versions = spark.read.parquet(folder)
+    elif path_kind(spark, folder) == "none":
+        versions = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
+    else:
+        versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(folder)
     last = top_k_per_key(versions, [key, "day"], [F.desc("batch")], 1)
     return last.groupBy(key, F.date_format("day", "yyyy-MM").alias("month")).agg(
         *[F.sum(c).alias(c) for c in ("review_count", "positive_count", "negative_count", "steam_purchase_count",
