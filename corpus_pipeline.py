@@ -1,8 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
 1. ``quality``: documents that the positive-unlabelled classifier scores below ``KEEP`` go.
-2. ``near_duplicates``: of each class of near copies (SimHash over two-word shingles, links of at most ``BITS`` differing bits) the
-   row with the smallest id stays. Short shingles and seven bits reach texts whose five-word shingles agree to 0.8, most of them.
+2. ``near_duplicates``: of each class of near copies the row with the smallest id stays. Texts are near copies if the Jaccard
+   similarity of their sets of five-word shingles is ``LEAST`` or more. Candidates are classes of SimHash over two-word shingles
+   with links of at most ``BITS`` differing bits, which reach most such pairs; inside them the sets are compared as a whole.
 3. ``repeated_text``: strings of 100 bytes that start earlier in the corpus are cut out of the texts; ``n_chars`` follows.
 4. ``decontaminate``: documents that hold a passage of a benchmark item go.
 5. ``pack``: what is left is tokenised, and packed into sequences of 1,024 tokens.
@@ -20,7 +21,8 @@ from shelfwise.llm import packing, phrases, quality, simhash, suffixes
 from shelfwise.llm.common import held_out, stored
 
 KEEP = 0.3
-BITS = 7
+BITS = 9
+LEAST = 0.8
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs, most=BITS, width=2)
+    return simhash.keep_first(docs, most=BITS, width=2, least=LEAST)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,8 +21,10 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from shelfwise.llm import similar
 from shelfwise.llm.common import LAST_ID, stored, utf8
 from shelfwise.llm.components import components
+from shelfwise.llm.phrases import small
 
 BUCKET = 8192
 PIECE = 1 << 21
@@ -41,9 +43,9 @@ def word_pieces(data: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
     yield data[at:].split() if at else data.split()
 
 
-def fingerprint(data: bytes, width: int = 3) -> int:
-    """The 64-bit SimHash of UTF-8 bytes, as a signed integer."""
-    ones, n, tail = np.zeros(64, np.int64), 0, []
+def shingle_hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of the shingles of ``width`` words, in pieces. Fewer words are one shingle; no words give nothing."""
+    n, tail = 0, []
     for words in word_pieces(data.lower()):  # bytes.lower() changes A-Z only
         words = tail + words
         text = b" ".join(words)
@@ -51,12 +53,19 @@ def fingerprint(data: bytes, width: int = 3) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1]) if words else ends
         spans = list(zip(starts[:len(words) - width + 1].tolist(), ends[width - 1:].tolist()))
         for i in range(0, len(spans), SHINGLES):
-            h = np.array([xxhash.xxh64_intdigest(text[s:e], 42) for s, e in spans[i:i + SHINGLES]], np.uint64)
-            ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-            n += len(h)
+            yield np.array([xxhash.xxh64_intdigest(text[s:e], 42) for s, e in spans[i:i + SHINGLES]], np.uint64)
+        n += len(spans)
         tail = words[-(width - 1):] if width > 1 else []
     if not n and tail:
-        return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(tail), 42)).astype(np.int64))
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(tail), 42)], np.uint64)
+
+
+def fingerprint(data: bytes, width: int = 3) -> int:
+    """The 64-bit SimHash of UTF-8 bytes, as a signed integer."""
+    ones, n = np.zeros(64, np.int64), 0
+    for h in shingle_hashes(data, width):
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        n += len(h)
     bits = np.packbits(2 * ones > n, bitorder="little") if n else np.zeros(8, np.uint8)
     return int(bits.view(np.int64)[0])
 
@@ -180,15 +189,32 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: i
     return marked.join(_named(marked, most), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
+def _verified(keys: DataFrame, own: DataFrame, least: float, shingle: int) -> DataFrame:
+    """``keys`` (doc_id, _tag, root, ...) with ``root`` from links that are verified on the texts inside the classes given."""
+    keys, _ = stored(keys, "candidates")
+    texts = keys.groupBy("root", "_tag").agg(F.min("doc_id").alias("doc_id"))
+    several = texts.groupBy("root").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("root")
+    members, _ = stored(texts.join(several, "root", "left_semi"), "members")
+    one = own.join(small(members), ["doc_id", "_tag"]).select("root", "_tag", "text").dropDuplicates(["root", "_tag"])
+    roots = similar.classes(one, least, shingle).select(F.col("node").alias("_tag"), "root")
+    return keys.drop("root").join(roots, "_tag", "left").withColumn("root", F.coalesce("root", "_tag"))
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3, least: float | None = None,
+               shingle: int = 5) -> DataFrame:
     """One row of each class, with all columns: the smallest id, then the smallest hash of the text; one of equal rows.
 
+    With ``least`` the classes of the fingerprints are candidates only: inside them two texts are linked if the Jaccard similarity
+    of their sets of shingles of ``shingle`` words is ``least`` or more (`similar`).
+
     Only ids and hashes are compared; the rows are then sifted by a join against those that go.
     """
     key = {"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "_tag": F.coalesce(F.xxhash64(text), F.lit(0))}
     own = docs.select(key["_doc"].alias("doc_id"), key["_tag"].alias("_tag"), F.col(text).alias("text"))
     marked, _ = stored(with_fingerprint(own, width=width).select("doc_id", "_tag", "fp"), "fingerprints")
     keys = marked.groupBy("doc_id", "_tag", "fp").agg(F.count(F.lit(1)).alias("n")).join(_named(marked, most), "fp")
+    if least is not None:
+        keys = _verified(keys, own, least, shingle)
     best = keys.groupBy("root").agg(F.min(F.struct("doc_id", "_tag")).alias("b"))
     judged, _ = stored(keys.join(best, "root").select(F.col("doc_id").alias("_doc"), "_tag", (
         (F.col("doc_id") == F.col("b.doc_id")) & (F.col("_tag") == F.col("b._tag"))).alias("first"), "n"), "judged")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import aliases, components, curves, langid, packing, phrases, quality, simhash, suffixes, warc, windows
+from shelfwise.llm import aliases, components, curves, langid, packing, phrases, quality, simhash, similar, suffixes, warc, windows
 from shelfwise.session import scratch_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, tag string, fp long, root long"
@@ -308,3 +308,61 @@ def test_pipeline_takes_effect(spark, sf):
             assert set(rows) == {d for d, c in report.items() if not c} and any(report.values())
     packed = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in packed.collect()} == set(rows)
+
+
+def brute_classes(texts, least=0.8):
+    """The root of each of ``texts`` (distinct, in the order of their ids) when pairs of that similarity are linked."""
+    grams = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        grams.append({b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))})
+    size, post, root = [len(g) for g in grams], {}, list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, g in enumerate(grams):
+        both = {}
+        for x in g:
+            for j in post.setdefault(x, []):
+                both[j] = both.get(j, 0) + 1
+            post[x].append(i)
+        for j, n in both.items():
+            if n >= least * (size[i] + size[j] - n) - 1e-9:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("block", [similar.BLOCK, 8])
+def test_similar_classes(spark, block):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeiou") + rng.choice("bcdlmnrst") for _ in range(4))
+    base, texts = [word() for _ in range(100)], [None, "", " \n", "one two", "ONE two", "one"]
+    for _ in range(60):  # some of these reach the bound with each other and some do not
+        t = list(base)
+        for _ in range(rng.randint(0, 4)):
+            t[rng.randrange(100)] = word()
+        texts.append(" ".join(t))
+    texts = list(dict.fromkeys(texts)) + [" ".join(base[:60]), " ".join(base + [word() for _ in range(70)])]
+    rows = spark.createDataFrame([(9, i, t) for i, t in enumerate(texts)], "root long, _tag long, text string")
+    got = {r.node: r.root for r in similar.classes(rows, 0.8, block=block).collect()}
+    root = brute_classes(texts)
+    assert 3 < len(set(root)) < len(texts) and got == {i: r for i, r in enumerate(root) if i != r}
+    assert similar.classes(rows.limit(0), 0.8).count() == 0
+
+
+def test_near_duplicates_go_only_where_shingles_agree(spark):
+    """Of the sample table: no text goes without a link of that similarity, and most that have one go."""
+    read = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    first = {}
+    for r in sorted(read.collect(), key=lambda r: r.doc_id):
+        first.setdefault(r.text, r.doc_id)
+    texts = list(first)
+    kept = {r.text for r in corpus_pipeline.near_duplicates(spark, read, "").collect()}
+    may_go = {t for i, (t, r) in enumerate(zip(texts, brute_classes(texts))) if i != r}
+    gone = set(texts) - kept
+    assert not gone - may_go
+    assert len(gone & may_go) >= 0.9 * len(may_go) > 0
