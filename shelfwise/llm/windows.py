@@ -6,7 +6,8 @@ sketch drop out there, and none that repeats can be missing. A word is removed i
 in a document with a smaller id, or earlier in the same document.
 
 A task of pass two settles repeats inside its own part at once and sends on only its first start of each window, so a window
-that a third of all documents share reaches the exact grouping once for each task.
+that a third of all documents share reaches the exact grouping once for each task. Different texts of one id, null among them, that
+start a window at the same place are all sent: which of them goes is known only when the first start of all tasks is.
 
 Words are separated by ASCII white space; case and characters stay as they are. Defined cases: null and empty texts have no
 words; a text shorter than a window keeps all; repeated rows of one document start at the same place, so they don't remove each
@@ -84,14 +85,19 @@ def word_list(data: bytes) -> list[bytes]:
     return [w for piece in word_pieces(data) for w in piece]
 
 
-def first_starts(d: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the first start of each digest (two columns of ``d``), and a mask of all that start later."""
-    order = np.lexsort((pos, doc, d[:, 1], d[:, 0]))
+def first_starts(d: np.ndarray, doc: np.ndarray, pos: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the first starts of each digest (two columns of ``d``), and a mask of all that start later.
+
+    Rows of one id may start a window at the same place; each different text of them (``tag``) is a first start.
+    """
+    order = np.lexsort((tag, pos, doc, d[:, 1], d[:, 0]))
     same = np.append(False, (d[order[1:]] == d[order[:-1]]).all(1))
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    late = (doc[order] != doc[order[head]]) | (pos[order] != pos[order[head]])
+    again = same & np.append(False, tag[order[1:]] == tag[order[:-1]])
     later = np.zeros(len(order), bool)
-    later[order] = (doc[order] != doc[order[head]]) | (pos[order] != pos[order[head]])
-    return order[~same], later
+    later[order] = late
+    return order[~late & ~again], later
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +125,7 @@ def _merged(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
 def settle_part(rows: list) -> pd.DataFrame:
     """Candidates of a task as (doc, tag, pos, digest): repeats inside it as spans, and its first starts, with size 0."""
     doc, tag, pos, digest = (np.concatenate(x) for x in zip(*rows))
-    first, later = first_starts(digest, doc, pos)
+    first, later = first_starts(digest, doc, pos, tag)
     spans = _merged(doc[later], tag[later], pos[later]).assign(d2=np.int32(0))
     spans["d1"] = spans.tag  # only deals them out
     sent = pd.DataFrame({"doc": doc[first], "tag": tag[first], "pos": pos[first].astype(np.int32), "size": np.int32(0),

@@ -366,3 +366,14 @@ def test_near_duplicates_go_only_where_shingles_agree(spark):
     gone = set(texts) - kept
     assert not gone - may_go
     assert len(gone & may_go) >= 0.9 * len(may_go) > 0
+
+
+def test_texts_of_one_id_that_share_a_start(spark):
+    """Two texts without an id open alike in one task, and a smaller id holds the same words in another task."""
+    line = " ".join(f"word{i}" for i in range(25))
+    rows = [(None, line + " left one"), (None, line + " left two"), (None, line + " left two"), (1, line), (2, "else"), (3, "else")]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    assert sorted(r.kept for r in windows.remove_repeated(df).collect() if r.doc_id is None) == ["left one", "left two", "left two"]
+    for large in (suffixes.LARGE, 1):
+        kept = [bytes(r.kept) for r in suffixes.remove_repeated(df, large=large).collect() if r.doc_id is None]
+        assert sorted(kept) == sorted(k for d, _, _, _, k in brute_bytes([(r.doc_id, r.text) for r in df.collect()], 100) if d is None)
