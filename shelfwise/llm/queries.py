@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import aliases, curves, langid, packing, phrases, quality, simhash, suffixes, warc, windows
+from shelfwise.llm import aliases, curves, langid, mixing, packing, phrases, quality, ranking, simhash, suffixes, tries, warc, windows
 from shelfwise.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,66 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = suffixes.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_mixing", r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        ('0x' || substr(md5('13:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS k FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+        [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS w FROM d GROUP BY source),
+    o AS (SELECT *, coalesce(sum(cap) OVER before, 0)::BIGINT AS caps, coalesce(sum(w) OVER before, 0)::BIGINT AS ws
+        FROM s WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    x AS (SELECT *, ((SELECT sum(source_size) FROM s)::BIGINT - caps) / ((SELECT sum(w) FROM s)::BIGINT - ws) AS x FROM o),
+    t AS (SELECT source, source_size, least(cap::DOUBLE, w * (SELECT min_by(x, (cap / w, source IS NULL, source)) FROM x WHERE x <= cap / w)) AS target
+        FROM x),
+    r AS (SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size::BIGINT AS size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+        + greatest(0, least(size, budget % source_size - before)) END::BIGINT AS taken FROM r""")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents")).drop("source")
+
+
+@query("op12_conversation_trie", r"""
+    WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, max(pos) AS n, conv_id - conv_id % 5 AS base, xor(list_reduce(list_transform(
+            [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda x: x),
+            lambda a, x: list_reduce([xor(a, x)] || range(8), lambda s, i: xor(s >> 1, (s & 1) * 3988292384))), 4294967295) % 9 AS h
+        FROM t GROUP BY conv_id),
+    r AS (SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+        UNION ALL
+        SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h
+            LEFT JOIN c b ON b.conv_id = c.base),
+    l AS (SELECT c.conv_id, coalesce(max(pos), 0) AS len FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+    p AS (SELECT conv_id, pos AS depth, octet_length(encode(text)) AS bytes,
+            list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM r
+        UNION ALL SELECT conv_id, 0, 0, [] FROM l),
+    g AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len), '') AS ends FROM p JOIN l USING (conv_id) GROUP BY depth, path),
+    k AS (SELECT g.depth, g.path, count(x.depth) AS n_children FROM g LEFT JOIN g x ON x.depth = g.depth + 1 AND x.path[1:len(x.path) - 1] = g.path
+        GROUP BY g.depth, g.path),
+    up AS (SELECT a AS depth, path[1:a] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n - 1) * bytes)::BIGINT AS saved
+        FROM (SELECT g.*, k.n_children, unnest(range(0, g.depth + 1)) AS a FROM g JOIN k USING (depth, path)) GROUP BY 1, 2)
+    SELECT g.conv_id, g.depth, o.conv_id AS parent_conv_id, g.n AS n_convs, k.n_children, up.n_leaves, up.saved AS saved_tokens, sha256(g.ends) AS ends_sha256
+    FROM g JOIN k USING (depth, path) JOIN up USING (depth, path) LEFT JOIN g o ON o.depth = g.depth - 1 AND o.path = g.path[1:g.depth - 1]""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, sf, "conversations"))
+
+
+@query("op11_lexical_search", r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts FROM documents),
+    i AS (SELECT item_id, row_number() OVER () AS i, list_distinct(list_transform(regexp_extract_all(coalesce(text, ''),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS ts FROM benchmark),
+    c AS (SELECT count(*)::BIGINT AS N, sum(len(ts))::BIGINT AS L FROM d WHERE len(ts) > 0),
+    m AS (SELECT r, doc_id, 10 + (90 * len(ts) * N) // L AS m FROM d, c WHERE len(ts) > 0),
+    tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+    w AS (SELECT t, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY t, N),
+    s AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM (SELECT i, item_id, unnest(ts) AS t FROM i) JOIN w USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY i, item_id, r, doc_id),
+    k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10""")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
