@@ -10,7 +10,7 @@ from shelfwise import vocab
 from shelfwise.functions import features as X, parsing as P
 from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import group_totals
-from shelfwise.operators.ordered import grouped_median
+from shelfwise.operators.ordered import medians
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -116,16 +116,18 @@ def price_histogram(df: DataFrame, price: str = "price", bins: Sequence[float] =
 def owners_by_flag(df: DataFrame, flags: Sequence[str], owners: str, label: str, min_rows: int = 30,
                    n: int = 12) -> DataFrame:
     """Per flag the rows, median owners and share of the top class."""
-    long = df.select(owners, label, *[F.col(f"`{c}`") for c in flags]) \
-        .unpivot([owners, label], list(flags), "genre", "flag").where(F.col("flag") == 1)
-    stats = long.groupBy("genre").agg(
-        F.count(F.lit(1)).alias("n"),
-        round_to(F.avg((F.col(label) == 2).cast("double")) * 100, 1).alias("pct_hit"),
-    ).where(F.col("n") >= min_rows)
-    med = grouped_median(long, "genre", owners)
-    return stats.join(med, "genre").select(
-        P.pretty_label(F.col("genre")).alias("genero"), "n",
-        F.col("median").cast("bigint").alias("owners_mediana"), "pct_hit",
+    wanted = [F.count_if(F.col(f"`{c}`") == 1).alias(f"n{i}") for i, c in enumerate(flags)]
+    wanted += [F.count_if((F.col(f"`{c}`") == 1) & (F.col(label) == 2)).alias(f"h{i}") for i, c in enumerate(flags)]
+    wanted += [F.count_if((F.col(f"`{c}`") == 1) & F.col(label).isNotNull()).alias(f"l{i}") for i, c in enumerate(flags)]
+    counts = df.agg(*wanted).first()
+    often = [i for i in range(len(flags)) if counts[f"n{i}"] >= min_rows]
+    # Flags are columns, so a median per flag is one more expression of the same pass.
+    found = medians(df, {flags[i]: F.when(F.col(f"`{flags[i]}`") == 1, F.col(owners)) for i in often})
+    rows = [(flags[i], counts[f"n{i}"], counts[f"h{i}"], counts[f"l{i}"], found[flags[i]]) for i in often if flags[i] in found]
+    stats = df.sparkSession.createDataFrame(rows, "genre string, n bigint, hits bigint, labelled bigint, median double")
+    return stats.select(
+        P.pretty_label(F.col("genre")).alias("genero"), "n", F.col("median").cast("bigint").alias("owners_mediana"),
+        round_to(F.try_divide("hits", "labelled") * 100, 1).alias("pct_hit"),
     ).orderBy(F.desc("owners_mediana"), "genero").limit(n)
 
 

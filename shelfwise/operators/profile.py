@@ -10,7 +10,7 @@ from shelfwise import vocab
 from shelfwise.functions.rounding import round_to
 from shelfwise.operators.filters import role_of, stage_of
 from shelfwise.operators.groups import top_k_per_key
-from shelfwise.operators.ordered import column_medians
+from shelfwise.operators.ordered import column_medians, medians
 
 
 def _q(c: str):
@@ -164,7 +164,7 @@ def dictionary(df: DataFrame) -> DataFrame:
 
 
 def numeric_defaults(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Median, minimum and maximum of each numeric column."""
+    """Median, minimum and maximum of each numeric column; ``df`` is read several times, so a long plan is best stored first."""
     wide = df.agg(*[e for c in cols for e in (F.min(c).cast("double").alias(f"lo_{c}"),
                                               F.max(c).cast("double").alias(f"hi_{c}"))])
     parts = ", ".join(f"'{c}', `lo_{c}`, `hi_{c}`" for c in cols)
@@ -193,27 +193,23 @@ def impute(df: DataFrame, flags: Sequence[str], numbers: Sequence[str] | None =
     """Flags 0, numbers the column median, text ''.
 
     Only numbers that have a null are touched; an integer column among them
-    becomes double, as its median may lie between two integers. Pass
-    ``numbers`` to skip the pass that looks for them.
+    becomes double, as its median may lie between two integers. Nulls are
+    looked for and medians found by passes over ``df``, so a table with a long
+    plan is best stored first. Pass ``numbers`` to skip the look for nulls.
     """
     flags = set(flags)
     if numbers is None:
         maybe = {f.name for f in df.schema.fields if f.nullable}
         numbers = columns_with_nulls(df, [c for c in numeric_columns(df) if c in maybe and c not in flags])
-    if numbers:
-        medians = column_medians(df, numbers)
-        df_m = df.withColumn(
-            "_med", medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "median"))).alias("m")).scalar())
-    else:
-        df_m = df
+    found = medians(df, {c: _q(c) for c in numbers}) if numbers else {}
     cols = []
     for c, t in df.dtypes:
         if c in flags:
             cols.append(F.coalesce(_q(c), F.lit(0)).cast("int").alias(c))
         elif c in numbers:
-            cols.append(F.coalesce(_q(c).cast("double"), F.try_element_at(F.col("_med"), F.lit(c))).alias(c))
+            cols.append(F.coalesce(_q(c).cast("double"), F.lit(found.get(c)).cast("double")).alias(c))
         elif t == "string":
             cols.append(F.coalesce(_q(c), F.lit("")).alias(c))
         else:
             cols.append(_q(c))
-    return df_m.select(*cols)
+    return df.select(*cols)

@@ -1,4 +1,7 @@
-"""The feature tables: one row per item."""
+"""The feature tables: one row per item.
+
+Each is a short chain of written tables, so no later step plans or computes an earlier one again.
+"""
 
 from __future__ import annotations
 
@@ -12,13 +15,17 @@ from shelfwise.operators.groups import first_per_key
 from shelfwise.operators.joins import join_catalogue, left_join_zero
 from shelfwise.operators.profile import impute
 from shelfwise.operators.shrinkage import leave_one_out_prior
+from shelfwise.session import materialise
 
 
 def enriched(meta: DataFrame, tags: DataFrame, text: DataFrame | None, order: list[str]) -> DataFrame:
-    """Items with tags: producer sizes over the whole catalogue, release parts, tiers, text length."""
-    first = first_per_key(meta, ["appid"], order)
-    out = with_experience(first, "developer", "dev", source=first)
-    out = with_experience(out, "publisher", "pub", source=first)
+    """Items with tags: producer sizes over the whole catalogue, release parts, tiers, text length.
+
+    The de-duplicated catalogue is written once; the producer tables read one column of it each.
+    """
+    first = materialise(first_per_key(meta, ["appid"], order), "catalogue")
+    out = with_experience(first, "developer", "dev", source=first.select("appid", "developer"))
+    out = with_experience(out, "publisher", "pub", source=first.select("appid", "publisher"))
     out = out.withColumns(P.release_parts(F.col("release_date")))
     out = out.withColumn("price_tier", X.price_tier(F.col("price"), F.col("is_free")))
     if text is not None:
@@ -55,10 +62,9 @@ def build_master(meta: DataFrame, tags: DataFrame, text: DataFrame | None, panel
     df = df.withColumn("price", X.clip(F.col("price"), high=vocab.PRICE_CAP))
     df = df.withColumn("label", X.success_label(F.col("owners_lower_bound"), *cuts))
     df = df.withColumn("label_name", X.label_name(F.col("label")))
-    # The same rows, without the joins that the prior does not need.
-    rows = with_estimate(join_catalogue(first_per_key(meta, ["appid"], order), tags.select("appid")))
-    df = leave_one_out_prior(df, source=rows.select(
-        "appid", "developer", X.success_label(F.col("owners_lower_bound"), *cuts).alias("label")))
+    # Written once: the prior, the look for nulls and the medians read the columns they need.
+    df = materialise(df, "labelled")
+    df = leave_one_out_prior(df, source=df.select("appid", "developer", "label"))
     return impute(df, columns_with_prefix(df, vocab.FLAG_PREFIXES), numbers_with_nulls)
 
 
@@ -68,5 +74,6 @@ def build_stage1(meta: DataFrame, tags: DataFrame, text: DataFrame, order: list[
     df = with_flag_sums(enriched(meta, tags, text, order))
     df = df.withColumn("price", X.clip(F.col("price"), high=vocab.PRICE_CAP))
     df = df.withColumn("tiene_ventas", (F.col("owners_lower_bound") > 0).cast("int"))
+    df = materialise(df, "items")
     df = impute(df, columns_with_prefix(df, vocab.FLAG_PREFIXES), numbers_with_nulls)
     return df.where(metadata_complete())

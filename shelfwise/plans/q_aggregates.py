@@ -13,6 +13,7 @@ from shelfwise.plans.data import master, stage1, stored
 from shelfwise.plans.q_rows import _COMPLETE_SQL, _NAMES_SQL, _enriched, _names
 from shelfwise.plans.q_sources import REVIEWS_SQL, review_payloads
 from shelfwise.plans.registry import query
+from shelfwise.session import materialise
 from shelfwise.sources import payloads as L, tables as T
 
 _FLAG_COLS = C.FLAGS + ("is_free", "is_early_access", "platform_windows", "platform_mac", "platform_linux")
@@ -246,7 +247,7 @@ _NUM = ("price", "total_achievements", "total_dlcs", "supported_languages", "min
     f"SELECT '{c}' AS \"column\", CAST(median({c}) AS DOUBLE) AS median, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM meta"
     for c in _NUM))
 def a21(spark, sf):
-    return PR.numeric_defaults(C.metadata(spark, sf), _NUM)
+    return PR.numeric_defaults(materialise(C.metadata(spark, sf).select(*_NUM), "numbers"), _NUM)
 
 
 @query("a21_category_defaults", f"WITH {S.MASTER}, c AS (" + " UNION ALL ".join(
