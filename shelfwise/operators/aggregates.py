@@ -115,7 +115,7 @@ def price_histogram(df: DataFrame, price: str = "price", bins: Sequence[float] =
 
 def owners_by_flag(df: DataFrame, flags: Sequence[str], owners: str, label: str, min_rows: int = 30,
                    n: int = 12) -> DataFrame:
-    """Per flag the rows, median owners and share of the top class."""
+    """Per flag the rows, median owners and share of the top class; ``df`` is read several times."""
     wanted = [F.count_if(F.col(f"`{c}`") == 1).alias(f"n{i}") for i, c in enumerate(flags)]
     wanted += [F.count_if((F.col(f"`{c}`") == 1) & (F.col(label) == 2)).alias(f"h{i}") for i, c in enumerate(flags)]
     wanted += [F.count_if((F.col(f"`{c}`") == 1) & F.col(label).isNotNull()).alias(f"l{i}") for i, c in enumerate(flags)]

@@ -95,7 +95,8 @@ def a9(spark, sf):
 def a10(spark, sf):
     m = C.metadata(spark, sf).select("appid", "owners_lower_bound", X.success_label(
         F.col("owners_lower_bound"), C.FLOP_MAX, C.HIT_MIN).alias("label"))
-    return A.owners_by_flag(m.join(C.tags(spark, sf), "appid"), C.GENRE_FLAGS, "owners_lower_bound", "label")
+    rows = m.join(C.tags(spark, sf), "appid").select("owners_lower_bound", "label", *C.GENRE_FLAGS)
+    return A.owners_by_flag(materialise(rows, "flags"), C.GENRE_FLAGS, "owners_lower_bound", "label")
 
 
 @query("a11_hits_by_quarter", """SELECT 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS q, count(*) AS n,

@@ -354,7 +354,7 @@ def t8(spark, sf):
 
 
 @query("t9_first_examples", f"""WITH n AS ({_NAMES_SQL}) SELECT o_orderkey, trim(name) AS name,
-  CASE WHEN lower(trim(name)) = 'null' THEN '' ELSE substr(sha256(name), 1, 16) END AS name_id, o_clerk_like AS other,
+  CASE WHEN trim(name) = '' OR lower(name) = 'null' THEN '' ELSE substr(sha256(name), 1, 16) END AS name_id, o_clerk_like AS other,
   substr(sha256(o_clerk_like), 1, 16) AS other_id FROM (SELECT n.*, o_orderstatus || ' ' || o_orderpriority AS o_clerk_like
     FROM n JOIN orders USING (o_orderkey)) WHERE trim(name) <> '' ORDER BY o_orderkey LIMIT 5""")
 def t9(spark, sf):

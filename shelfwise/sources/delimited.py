@@ -7,32 +7,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise.functions.parsing import is_valid_text, strip
+from shelfwise.sources.records import parse, read_records
 
 SEP = ";"
 # Quotes are doubled inside quoted fields.
 QUOTING = {"sep": SEP, "header": "true", "quote": '"', "escape": '"'}
 
 
-def _options(multi_line: bool) -> dict[str, str]:
-    # Fields with line breaks need one task per file, so large data comes as many
-    # files; data known to have none can be read with ``multi_line=False`` and
-    # splits within files too.
-    return {**QUOTING, "multiLine": str(multi_line).lower()}
+def _plain(spark: SparkSession):
+    return spark.read.options(**QUOTING, multiLine="false")
+
+
+def _quoted(spark: SparkSession):
+    # The records come without their header line.
+    return spark.read.options(**{**QUOTING, "header": "false"})
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True) -> DataFrame:
-    """A missing path raises an error."""
-    return spark.read.options(**_options(multi_line)).schema(schema).csv(path)
+    """A missing path raises an error.
+
+    Fields may hold line breaks; ``multi_line=False`` saves the look for them where data is known to have none. Either way a
+    file is read by as many tasks as it has byte ranges.
+    """
+    if not multi_line:
+        return _plain(spark).schema(schema).csv(path)
+    return parse(read_records(spark, path, SEP)[0], _quoted(spark).schema(schema))
 
 
 def read_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Column types from the data, rows that do not fit filled with nulls."""
-    return spark.read.options(**_options(multi_line), inferSchema="true", mode="PERMISSIVE").csv(path)
+    infer = {"inferSchema": "true", "mode": "PERMISSIVE"}
+    if not multi_line:
+        return _plain(spark).options(**infer).csv(path)
+    records, header = read_records(spark, path, SEP)
+    names = _plain(spark).options(header="true").csv(spark.sparkContext.parallelize([header])).columns
+    return parse(records, _quoted(spark).options(**infer)).toDF(*names)
 
 
-def read_columns(spark: SparkSession, path: str, schema: T.StructType | str, cols: Sequence[str]) -> DataFrame:
+def read_columns(spark: SparkSession, path: str, schema: T.StructType | str, cols: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Only the named columns."""
-    return read_typed(spark, path, schema).select(*cols)
+    return read_typed(spark, path, schema, multi_line).select(*cols)
 
 
 def read_lines(spark: SparkSession, path: str, sep: str = SEP) -> tuple[DataFrame, list[str]]:
@@ -68,11 +82,11 @@ def parsed_counts(df: DataFrame, key: str, name_col: str) -> DataFrame:
     )
 
 
-def integrity_audit(spark: SparkSession, path: str, schema: T.StructType | str, key: str, name_col: str) -> DataFrame:
+def integrity_audit(spark: SparkSession, path: str, schema: T.StructType | str, key: str, name_col: str, multi_line: bool = True) -> DataFrame:
     """Both readings of one file side by side, whether they agree, and the rows between them."""
     tokens, header = read_lines(spark, path)
     a = line_counts(tokens, header, name_col).select(F.struct("*").alias("l")).scalar()
-    b = parsed_counts(read_typed(spark, path, schema), key, name_col)
+    b = parsed_counts(read_typed(spark, path, schema, multi_line), key, name_col)
     return b.select(a.alias("l"), F.struct("*").alias("p")).select(
         F.col("l.total").alias("lines_total"), F.col("l.names").alias("lines_names"),
         F.col("l.invalid").alias("lines_invalid"), F.col("p.total").alias("parsed_total"),
