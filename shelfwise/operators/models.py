@@ -5,22 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import vocab
-from shelfwise.operators import metrics
+from shelfwise.operators import metrics, nets
 from shelfwise.operators.filters import columns_with_prefix
 from shelfwise.operators.ordered import fold_of
 from shelfwise.operators.profile import kept_columns, numeric_columns
+from shelfwise.operators.stages import FourierMap, ReluNetModel
 
 
 @dataclass(frozen=True)
@@ -102,67 +101,26 @@ def logistic(name: str = "lr", c: float = 1.0, weight_sum: float = 1.0, family:
     return est.setWeightCol("weight") if weighted else est
 
 
-def perceptron(name: str, inputs: int, classes: int, hidden: Sequence[int] = (64, 32), max_iter: int = 600,
-               seed: int = 42) -> MultilayerPerceptronClassifier:
-    """M7: two hidden layers, unweighted."""
-    return _outputs(MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=max_iter, seed=seed,
-                                                   blockSize=128), name)
-
-
 def owners_regressor(max_iter: int = 100, seed: int = 42) -> GBTRegressor:
     """M8: boosted trees on the log1p target."""
     return GBTRegressor(featuresCol="features", labelCol="log_owners", predictionCol="pred_owners", maxIter=max_iter,
                         maxDepth=5, stepSize=0.1, seed=seed)
 
 
-class FourierFeatures:
-    """M6: random Fourier features of the RBF kernel (Rahimi and Recht, 2007).
-
-    A linear model on them approximates a kernel classifier and stays linear
-    in the rows. gamma is 1 / (dimensions * variance of all entries).
-    """
-
-    def __init__(self, dims: int, gamma: float, n: int = 256, seed: int = 42):
-        rng = np.random.default_rng(seed)
-        self.weights = rng.normal(0.0, np.sqrt(2.0 * gamma), (dims, n))
-        self.shift = rng.uniform(0.0, 2.0 * np.pi, n)
-
-    @classmethod
-    def fit(cls, df: DataFrame, n: int = 256, seed: int = 42) -> FourierFeatures:
-        v = vector_to_array("features")
-        per = df.select(F.size(v).alias("d"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("s"),
-                        F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x).alias("q"))
-        r = per.agg(F.max("d").alias("d"), F.sum("d").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
-        var = r["q"] / r["n"] - (r["s"] / r["n"]) ** 2
-        return cls(r["d"], 1.0 / (r["d"] * var) if var > 0 else 1.0, n, seed)
-
-    def transform(self, df: DataFrame, out: str = "fourier") -> DataFrame:
-        w, b = self.weights, self.shift
-        scale = np.sqrt(2.0 / len(b))
-
-        @F.pandas_udf("array<double>")
-        def project(v: pd.Series) -> pd.Series:
-            if not len(v):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(scale * np.cos(np.stack(v.to_numpy()) @ w + b)))
-
-        return df.withColumn(out, array_to_vector(project(vector_to_array("features"))))
-
-
-def fit_classifiers(train: DataFrame, classes: int, max_iter: int = 2000) -> dict:
+def fit_classifiers(train: DataFrame, classes: int, max_iter: int = 2000, key: str = "appid") -> dict:
     """M5-M7 on rows with ``features`` and ``label``: the fitted model of each family.
 
     The solvers stop on their tolerance; the limits are for models that don't get there, see ``convergence``.
     """
     weighted = metrics.class_weights(train, "label").persist()
     # One row; the vector length comes from the data.
-    n, width = weighted.select(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
-    fourier = FourierFeatures.fit(weighted)
+    n = weighted.count()
+    fourier = FourierMap.fit(weighted)
     out = {
         "lr": logistic("lr", 1.0, n, max_iter=max_iter).fit(weighted),
         "fourier": fourier,
         "svm": logistic("svm", 10.0, n, max_iter=max_iter, features="fourier").fit(fourier.transform(weighted)),
-        "mlp": perceptron("mlp", width, classes).fit(weighted),
+        "mlp": nets.fit(train, classes, key),
     }
     weighted.unpersist()
     return out
@@ -183,6 +141,8 @@ def apply_classifiers(models: dict, df: DataFrame, names: Sequence[str] = MODELS
 
 def convergence(model) -> tuple[int | None, bool | None]:
     """Iterations that a fitted classifier took, and whether it stopped before its limit; unknown for a loaded model."""
+    if isinstance(model, ReluNetModel):
+        return model.getOrDefault(model.iterations), model.getOrDefault(model.stopped)
     if not model.hasSummary:
         return None, None
     summary = model.summary() if callable(model.summary) else model.summary
@@ -202,6 +162,15 @@ def compare_models(scored: DataFrame, classes: int, names: Sequence[str] = MODEL
     return out
 
 
+def training_reports(scored: DataFrame, classes: int, coefs: DataFrame, models: dict | None = None, names: Sequence[str] = MODELS) -> dict[str, DataFrame]:
+    """Metrics of all models, confusion and class report of each, and coefficients, by report name."""
+    out = {"metrics": compare_models(scored, classes, names, models), "coefficients": coefs}
+    for m in names:
+        out[f"confusion_{m}"] = metrics.confusion(scored, "label", f"pred_{m}", classes)
+        out[f"class_report_{m}"] = metrics.class_report(out[f"confusion_{m}"])
+    return out
+
+
 def coefficients(df: DataFrame, model: LogisticRegressionModel, names: Sequence[str],
                  classes: Sequence[str]) -> DataFrame:
     """One row per class and feature; as large as the model."""

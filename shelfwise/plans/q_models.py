@@ -17,7 +17,8 @@ from shelfwise.plans.data import stored
 from shelfwise.plans.q_aggregates import _PROFILE_SQL, _ROLE_SQL
 from shelfwise.plans.q_sources import _CONF_SQL, _quality_scores
 from shelfwise.plans.registry import query
-from shelfwise.session import materialise
+from shelfwise.session import materialise, scratch_dir
+from shelfwise.sources import bundle as B
 
 CLASSES = list(vocab.LABEL_NAMES.values())
 
@@ -162,12 +163,9 @@ def m17(spark, sf):
 
 
 def _scored(spark, sf):
-    t, schema = T.served(spark, sf), T.scenario_schema(spark, sf)
-    s1_pre, s1_model = T.served_traction(spark, sf)
-    states = Z.normalise(T.scenarios(spark, sf), schema, "scenario")
-    rows = M.apply_classifiers(t.models, t.owners.transform(M.preprocess(t.pre, states)))
-    rows = s1_model.transform(M.preprocess(s1_pre, rows.drop("features"))).withColumn("p_traction", vector_to_array("prob_s1")[1])
-    return Z.score(rows, schema, M.MODELS, "mlp", F.col("pred_owners"), F.col("p_traction"), (C.FLOP_MAX, C.HIT_MIN))
+    b = T.bundle(spark, sf)
+    states = Z.normalise(T.scenarios(spark, sf), b.schema, "scenario")
+    return Z.score(T.apply_bundle(b, states), b.schema, M.MODELS, "mlp", F.col("pred_owners"), F.col("p_traction"), (C.FLOP_MAX, C.HIT_MIN))
 
 
 @query("m18_batch_scoring")
@@ -198,6 +196,85 @@ def _states(spark, sf):
     return Z.normalise(T.scenarios(spark, sf), T.scenario_schema(spark, sf), "scenario").drop("raw_price")
 
 
+@query("s13_fitted_bundle", """SELECT output, (SELECT count(*) FROM customer) AS n_rows, (SELECT count(*) FROM customer) AS n_alike
+  FROM (VALUES ('probs_lr'), ('probs_svm'), ('probs_mlp'), ('pred_owners'), ('p_traction')) t(output)""")
+def s13_bundle(spark, sf):
+    """Scores of the written and reloaded models beside those of the models themselves, bit for bit."""
+    bundle, folder = T.bundle(spark, sf), scratch_dir(spark, "bundle")
+    B.save_bundle(spark, bundle, folder)
+    again = B.load_bundle(spark, folder)
+    outputs = ["probs_lr", "probs_svm", "probs_mlp", "pred_owners", "p_traction"]
+
+    def scores(b):
+        rows = T.apply_bundle(b, Z.normalise(T.scenarios(spark, sf), b.schema, "scenario"))
+        return rows.select("scenario", F.explode(F.create_map(*[x for c in outputs for x in (F.lit(c), F.col(c).cast("string"))])).alias("output", "v"))
+
+    mine, theirs = scores(bundle), scores(again).withColumnRenamed("v", "w")
+    return mine.join(theirs, ["scenario", "output"]).groupBy("output").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("v") == F.col("w")).alias("n_alike"))
+
+
+_REPORTS = {"metrics": "modelo string, auc_ovr_macro double, f1_macro double, accuracy double, iterations int, converged boolean",
+            "coefficients": "clase string, feature string, coef_logodds double, odds_ratio double, intercept_clase double, abs_impact double",
+            **{f"confusion_{m}": "actual int, predicted int, n bigint" for m in M.MODELS},
+            **{f"class_report_{m}": "clase int, precision double, recall double, f1 double, support bigint, tp bigint, predicted bigint" for m in M.MODELS}}
+_TEST_SQL = f"{S.MASTER}, c AS (SELECT label, CAST(floor(count(*) * 0.2) AS BIGINT) AS n FROM master GROUP BY label)"
+
+
+def _test_scores(spark, sf):
+    t = T.trained(spark, sf)
+    return materialise(M.apply_classifiers(t.models, t.test).drop("features"), "scored")
+
+
+@query("s16_training_reports", f"""WITH {_TEST_SQL} SELECT r AS report, CAST(CASE WHEN r = 'metrics' OR r = 'coefficients' THEN 3 WHEN r = 'absent' THEN 0
+  ELSE (SELECT sum(n) FROM c) END AS BIGINT) AS total, true AS as_written FROM (VALUES {", ".join(f"('{r}')" for r in (*_REPORTS, "absent"))}) t(r)""")
+def s16_reports(spark, sf):
+    """The reports of a training run, written and read back: models, classes or test rows that each covers."""
+    folder, written = scratch_dir(spark, "reports"), M.training_reports(_test_scores(spark, sf), 3, _coefs(spark, sf), T.trained(spark, sf).models)
+    B.write_reports(written, folder)
+    found = B.read_reports(spark, folder, {**_REPORTS, "absent": "n bigint"})
+    size = {"metrics": F.count_distinct("modelo"), "coefficients": F.count_distinct("clase"), "absent": F.count("n"),
+            **{f"confusion_{m}": F.sum("n") for m in M.MODELS}, **{f"class_report_{m}": F.sum("support") for m in M.MODELS}}
+    out = None
+    for name, df in found.items():
+        first = written.get(name, df)
+        alike = df.exceptAll(first.select(df.columns)).isEmpty() and df.count() == first.count()
+        row = df.agg(size[name].cast("bigint").alias("total")).select(F.lit(name).alias("report"), "total", F.lit(alike).alias("as_written"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("m17_class_support", f"""WITH {_TEST_SQL} SELECT modelo, label AS clase, n AS support, true AS f1_from_counts
+  FROM c, (VALUES ('lr'), ('svm'), ('mlp')) m(modelo)""")
+def m17_support(spark, sf):
+    """Confusion and report of every fitted model: test rows per class, and whether F1 follows from the counts."""
+    scored, out = _test_scores(spark, sf), None
+    for m in M.MODELS:
+        rep = E.class_report(E.confusion(scored, "label", f"pred_{m}", 3))
+        f1 = F.try_divide(2 * F.col("tp"), F.col("support") + F.col("predicted"))
+        row = rep.select(F.lit(m).alias("modelo"), "clase", "support", (F.abs(F.col("f1") - F.coalesce(f1, F.lit(0.0))) < 1e-12).alias("f1_from_counts"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _fit_facts(spark, sf, name):
+    """What must hold of a fitted classifier on the held-out rows."""
+    t = T.trained(spark, sf)
+    scored = M.apply_classifiers(t.models, t.test, [name])
+    probs, pred = F.col(f"probs_{name}"), F.col(f"pred_{name}")
+    total = F.aggregate(probs, F.lit(0.0), lambda a, p: a + p)
+    counts = [F.count_if(F.col("label") == k) for k in range(3)]
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_test"), F.greatest(*counts).alias("n_majority"), F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_to_one"),
+        F.count_if(F.element_at(probs, (pred + 1).cast("int")) == F.array_max(probs)).alias("n_argmax")).withColumn("converged", F.lit(bool(M.convergence(t.models[name])[1])))
+
+
+_FACTS_SQL = f"WITH {_TEST_SQL}, s AS (SELECT CAST(sum(n) AS BIGINT) AS n, max(n) AS m FROM c) " \
+    "SELECT n AS n_test, m AS n_majority, n AS n_sum_to_one, n AS n_argmax, true AS converged FROM s"
+for _id, _model in (("m5_logistic", "lr"), ("m6_kernel", "svm"), ("m7_relu_net", "mlp")):
+    query(f"{_id}_facts", _FACTS_SQL)(lambda spark, sf, m=_model: _fit_facts(spark, sf, m))
+
+
 @query("m20_what_if")
 def m20(spark, sf):
     return Z.what_if(_states(spark, sf), T.scenario_schema(spark, sf), T.hit_scorer(T.served(spark, sf)), "scenario")

@@ -16,6 +16,7 @@ from shelfwise.operators.scoring import Schema, Scorer
 from shelfwise.plans import catalogue as C
 from shelfwise.plans.data import stored
 from shelfwise.session import materialise
+from shelfwise.sources.bundle import Bundle
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -141,6 +142,20 @@ def scenario_schema(spark: SparkSession, sf: str) -> Schema:
     return _schema(spark.sparkContext.applicationId, sf)
 
 
+def bundle(spark: SparkSession, sf: str) -> Bundle:
+    """All models that serve scenarios, with their schema."""
+    t = served(spark, sf)
+    s1_pre, s1_model = served_traction(spark, sf)
+    return Bundle({"pre": t.pre, **t.models, "owners": t.owners, "s1_pre": s1_pre, "s1": s1_model}, scenario_schema(spark, sf))
+
+
+def apply_bundle(b: Bundle, states: DataFrame) -> DataFrame:
+    """Normalised scenarios with pred_ and probs_ of every classifier, pred_owners and p_traction."""
+    rows = M.apply_classifiers(b.stages, b.stages["owners"].transform(M.preprocess(b.stages["pre"], states)))
+    rows = M.preprocess(b.stages["s1_pre"], rows.drop("features"))
+    return b.stages["s1"].transform(rows).withColumn("p_traction", vector_to_array("prob_s1")[1])
+
+
 def scenarios(spark: SparkSession, sf: str) -> DataFrame:
     """One planned item per customer: a few choices are given, the rest take defaults."""
     k = F.col("c_custkey")
