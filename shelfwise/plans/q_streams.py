@@ -33,7 +33,7 @@ def st1(spark, sf):
         events, "appid", F.col("ts"), "31 days", kind.isin("click", "view", "purchase"), kind == "purchase", kind == "signup",
         F.floor("value").cast("bigint"), start="2024-01-04 00:00:00")
     folder = scratch_dir(spark, "panel")
-    reviews.write_day_totals(days, folder, scratch_dir(spark, "stream")).awaitTermination()
+    reviews.write_day_totals(days, folder, scratch_dir(spark, "stream"), "appid", "31 days").awaitTermination()
     return reviews.read_month_panel(spark, folder, "appid", days.schema)
 
 

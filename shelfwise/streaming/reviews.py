@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.rounding import round_to
 from shelfwise.operators.groups import top_k_per_key
-from shelfwise.session import path_kind
+from shelfwise.session import discard, path_kind
 
 
 def day_totals(stream: DataFrame, key: str, ts: Column, lateness: str, voted_up: Column, purchased: Column,
@@ -28,14 +28,30 @@ def day_totals(stream: DataFrame, key: str, ts: Column, lateness: str, voted_up:
     )
 
 
-def write_day_totals(days: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Each micro-batch writes the days it changed under its own number.
+COUNTS = ("review_count", "positive_count", "negative_count", "steam_purchase_count", "early_access_count")
 
-    A batch that is run again after a failure overwrites its own folder, so
-    nothing is counted twice.
+
+def write_day_totals(days: DataFrame, folder: str, checkpoint: str, key: str, lateness: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keeps the last version of the open days, and the months' sums of the days that closed.
+
+    A day is closed once its end lies ``lateness`` before the latest day seen: by then the stream drops its late rows. Batch n
+    reads the open days of batch n - 1 and writes its own open days and the sums of those that close with it, each under its
+    number. So a batch works on the open days alone, however long the stream has run, and one that is run again after a failure
+    writes the same again. Open days of earlier batches are deleted.
     """
+    schema = days.schema
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        spark = batch.sparkSession
+        before = spark.read.schema(schema).parquet(f"{folder}/open/batch={batch_id - 1}") if batch_id else batch.limit(0)
+        versions = batch.withColumn("_new", F.lit(1)).unionByName(before.withColumn("_new", F.lit(0)))
+        merged, path = _stored(top_k_per_key(versions, [key, "day"], [F.desc("_new")], 1).drop("_new"), f"{folder}/merged/batch={batch_id}")
+        end = merged.agg(F.max("day")).scalar() - F.expr(f"INTERVAL {lateness}")
+        closed = F.coalesce(F.col("day") + F.expr("INTERVAL 1 day") <= end, F.lit(False))
+        merged.where(~closed).write.mode("overwrite").parquet(f"{folder}/open/batch={batch_id}")
+        _months(merged.where(closed), key).write.mode("overwrite").parquet(f"{folder}/closed/batch={batch_id}")
+        discard(spark, path)
+        discard(spark, f"{folder}/open/batch={batch_id - 2}")
 
     return (
         days.writeStream.outputMode("update").foreachBatch(store)
@@ -43,19 +59,34 @@ def write_day_totals(days: DataFrame, folder: str, checkpoint: str, trigger: dic
     )
 
 
-def read_month_panel(spark: SparkSession, folder: str, key: str, schema: T.StructType | None = None) -> DataFrame:
-    """The last version of every day, rolled up to months.
+def _stored(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
-    With the ``schema`` of the day totals a stream that has had no rows gives none; without it that is an error.
-    """
-    if schema is None:
-        versions = spark.read.parquet(folder)
-    elif path_kind(spark, folder) == "none":
-        versions = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
+
+def _months(days: DataFrame, key: str) -> DataFrame:
+    return days.groupBy(key, F.date_format("day", "yyyy-MM").alias("month")).agg(*[F.sum(c).alias(c) for c in (*COUNTS, "minutes")])
+
+
+def read_month_panel(spark: SparkSession, folder: str, key: str, schema: T.StructType) -> DataFrame:
+    """Closed and open days rolled up to months; a stream that has had no rows gives none. ``schema`` is that of the day totals."""
+    last = batches(spark, f"{folder}/open")
+    if not last:
+        days, closed = spark.createDataFrame([], schema), None
     else:
-        versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(folder)
-    last = top_k_per_key(versions, [key, "day"], [F.desc("batch")], 1)
-    return last.groupBy(key, F.date_format("day", "yyyy-MM").alias("month")).agg(
-        *[F.sum(c).alias(c) for c in ("review_count", "positive_count", "negative_count", "steam_purchase_count",
-                                      "early_access_count")],
-        round_to(F.sum("minutes") / F.sum("review_count") / 60, 2).alias("avg_playtime_at_review_hrs"))
+        days = spark.read.schema(schema).parquet(f"{folder}/open/batch={max(last)}")
+        closed = spark.read.schema(_months(days, key).schema).parquet(f"{folder}/closed/batch=*")
+    sums = _months(days, key)
+    if closed is not None:
+        sums = sums.unionByName(closed)
+    return sums.groupBy(key, "month").agg(
+        *[F.sum(c).alias(c) for c in COUNTS], round_to(F.sum("minutes") / F.sum("review_count") / 60, 2).alias("avg_playtime_at_review_hrs"))
+
+
+def batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the batches that a folder holds."""
+    if path_kind(spark, folder) == "none":
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in found)
