@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm import sketch
 from shelfwise.llm.common import LAST_ID, mixed, stored, utf8
@@ -33,6 +33,10 @@ BASE = np.uint64(0x5851F42D4C957F2D)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 PIECE = 1 << 20
 HELD = 1 << 18
+#: Bytes of text for a window; sizes the sketch, not the result.
+BYTES = 6
+#: Bits of the key filter for each row with repeats, and of one of its parts; bits in all, at most.
+KEY_BITS, PART_BITS, MAX_KEY_BITS = 8, 1 << 15, 1 << 30
 _powers: dict[int, np.ndarray] = {}
 _blank = np.zeros(256, bool)
 _blank[list(b" \t\n\v\f\r")] = True
@@ -159,7 +163,7 @@ def settle_all(found: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc, tag, spans): for every row of ``docs`` (doc, tag, text) with some, the runs of windows that start earlier elsewhere."""
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    maps = sketch.build(docs.select("text"), lambda pdf: (window_hashes(b, width) for b in utf8(pdf.text)), sketch.bits_for(size // 12))
+    maps = sketch.build(docs.select("text"), lambda pdf: (window_hashes(b, width) for b in utf8(pdf.text)), sketch.bits_for(size // BYTES))
     shared = docs.sparkSession.sparkContext.broadcast(maps)
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,5 +220,23 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 rows.append((key, len(words), len(words) - len(left), b" ".join(left).decode("utf-8", "surrogatepass")))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept"]).astype({"doc_id": "Int64"})
 
-    return own.join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans").mapInPandas(
-        keep, "doc_id long, n_words long, n_removed long, kept string")
+    # Texts of rows that lose nothing are not shuffled.
+    bits = min(MAX_KEY_BITS, max(PART_BITS, 1 << (KEY_BITS * spans.count()).bit_length()))
+    part, place = _place(bits)
+    may = spans.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    may, _ = stored(may, "keys")  # bits / 8 bytes
+    marked = own.join(F.broadcast(may), F.col("_part") == part, "left").withColumn("_may", F.coalesce(_bit(F.col("_bits"), place), F.lit(False)))
+    whole = marked.where("NOT _may").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    cut = marked.where("_may").select("doc_id", "text", "doc", "tag").join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
+    return whole.unionByName(cut).mapInPandas(keep, "doc_id long, n_words long, n_removed long, kept string")
+
+
+def _place(bits: int) -> tuple[Column, Column]:
+    """Part and bit of a row's key in a filter of ``bits``, a power of two. Keys may share a bit."""
+    at = F.xxhash64("doc", "tag").bitwiseAND(F.lit(bits - 1))
+    return F.floor(at / PART_BITS).cast("int"), (at % PART_BITS).cast("long")
+
+
+def _bit(bitmap: Column, place: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8 + 1).cast("int"))) > 0
