@@ -141,10 +141,14 @@ def kept_columns(df: DataFrame, cols: Sequence[str], mode: str = "master") -> li
 def dictionary(df: DataFrame) -> DataFrame:
     """Role, stage, type and statistics of every column.
 
-    Distinct counts of all columns share one shuffle of (column, value) counts.
+    Distinct counts of all columns share one shuffle of counts by column and value; a value is 96 bits of hash, so no text leaves
+    its task. Null is a value.
     """
     cols, numeric = df.columns, set(numeric_columns(df))
-    stats = value_counts(df, cols).groupBy("column").agg(
+    value = lambda c: F.when(_q(c).isNotNull(), F.struct(F.xxhash64(_q(c)).alias("x"), F.hash(_q(c)).alias("y")))
+    hashed = df.select(*[value(c).alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    counts = hashed.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    stats = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_unique"), (F.max("n") / F.sum("n")).alias("top_share")
     )
     nz = df.agg(*[

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-QUERY_MODULES = ("q_sources", "q_rows", "q_scalars", "q_aggregates", "q_models", "q_scenarios", "q_streams")
+QUERY_MODULES = ("q_sources", "q_rows", "q_scalars", "q_aggregates", "q_models", "q_scenarios", "q_panel", "q_streams")
 
 
 def all_queries():

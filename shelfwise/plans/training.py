@@ -14,7 +14,7 @@ from shelfwise.functions.rounding import round_to
 from shelfwise.operators import filters as R, models as M, ordered as O, profile as PR
 from shelfwise.operators.scoring import Schema, Scorer
 from shelfwise.plans import catalogue as C
-from shelfwise.plans.data import stored
+from shelfwise.plans.data import stored, version
 from shelfwise.session import materialise
 from shelfwise.sources.bundle import Bundle
 
@@ -43,7 +43,7 @@ class Served:
 
 
 @lru_cache(maxsize=2)
-def _features(app_id: str, sf: str, name: str) -> M.Features:
+def _features(key: tuple, sf: str, name: str) -> M.Features:
     df = stored(SparkSession.active(), sf, name)
     if name == "master":
         return M.select_features(df)
@@ -53,7 +53,7 @@ def _features(app_id: str, sf: str, name: str) -> M.Features:
 
 
 def features(spark: SparkSession, sf: str, name: str = "master") -> M.Features:
-    return _features(spark.sparkContext.applicationId, sf, name)
+    return _features(version(spark, sf), sf, name)
 
 
 def split(df: DataFrame, label: str) -> DataFrame:
@@ -65,7 +65,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @lru_cache(maxsize=2)
-def _trained(app_id: str, sf: str) -> Trained:
+def _trained(key: tuple, sf: str) -> Trained:
     spark = SparkSession.active()
     f = features(spark, sf)
     df = split(_labelled(spark, sf), "label")
@@ -78,11 +78,11 @@ def _trained(app_id: str, sf: str) -> Trained:
 
 def trained(spark: SparkSession, sf: str) -> Trained:
     """Models fitted on the training rows only, for evaluation on the others."""
-    return _trained(spark.sparkContext.applicationId, sf)
+    return _trained(version(spark, sf), sf)
 
 
 @lru_cache(maxsize=2)
-def _served(app_id: str, sf: str) -> Served:
+def _served(key: tuple, sf: str) -> Served:
     spark = SparkSession.active()
     f, df = features(spark, sf), _labelled(spark, sf)
     pre = M.fit_preprocessor(df, f)
@@ -91,11 +91,11 @@ def _served(app_id: str, sf: str) -> Served:
 
 
 def served(spark: SparkSession, sf: str) -> Served:
-    return _served(spark.sparkContext.applicationId, sf)
+    return _served(version(spark, sf), sf)
 
 
 @lru_cache(maxsize=2)
-def _served_traction(app_id: str, sf: str):
+def _served_traction(key: tuple, sf: str):
     spark = SparkSession.active()
     f, df = features(spark, sf, "stage1"), stored(spark, sf, "stage1").withColumn("label", F.col("tiene_ventas"))
     pre = M.fit_preprocessor(df, f)
@@ -105,11 +105,11 @@ def _served_traction(app_id: str, sf: str):
 
 def served_traction(spark: SparkSession, sf: str):
     """The first-stage preprocessor and model, fitted on all rows."""
-    return _served_traction(spark.sparkContext.applicationId, sf)
+    return _served_traction(version(spark, sf), sf)
 
 
 @lru_cache(maxsize=2)
-def _traction(app_id: str, sf: str):
+def _traction(key: tuple, sf: str):
     """The first-stage model; its test rows come scored."""
     spark = SparkSession.active()
     f = features(spark, sf, "stage1")
@@ -123,11 +123,11 @@ def _traction(app_id: str, sf: str):
 
 
 def traction(spark: SparkSession, sf: str):
-    return _traction(spark.sparkContext.applicationId, sf)
+    return _traction(version(spark, sf), sf)
 
 
 @lru_cache(maxsize=2)
-def _schema(app_id: str, sf: str) -> Schema:
+def _schema(key: tuple, sf: str) -> Schema:
     spark = SparkSession.active()
     df, f = stored(spark, sf, "master"), features(spark, sf)
     # One row per feature.
@@ -139,7 +139,7 @@ def _schema(app_id: str, sf: str) -> Schema:
 
 
 def scenario_schema(spark: SparkSession, sf: str) -> Schema:
-    return _schema(spark.sparkContext.applicationId, sf)
+    return _schema(version(spark, sf), sf)
 
 
 def bundle(spark: SparkSession, sf: str) -> Bundle:

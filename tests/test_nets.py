@@ -7,7 +7,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise.operators import metrics as E, models as M, nets
+from shelfwise.operators.scoring import Schema
 from shelfwise.operators.stages import FourierMap, ReluNetModel
+from shelfwise.sources import bundle as B
 
 
 def test_gradient_matches_differences():
@@ -72,3 +74,19 @@ def test_own_stages_score_alike_after_reading(spark, ring, tmp_path):
     cols = ["appid", vector_to_array("fourier").alias("f"), vector_to_array("prob_mlp").alias("p"), "pred_mlp"]
     score = lambda m: m.transform(ring).select(*cols).orderBy("appid").collect()
     assert score(again) == score(PipelineModel([fourier, net]))
+
+
+def test_bundle_comes_back_as_it_was(spark, ring, tmp_path):
+    features = M.Features(("price",), ("tag_a", "tag_b"), ("kind",))
+    items = spark.createDataFrame([(1.0, 1, 0, "x"), (2.5, 0, 1, "y"), (4.0, 1, 1, "x")], "price double, tag_a int, tag_b int, kind string")
+    stages = {"pre": M.fit_preprocessor(items, features), "fourier": FourierMap.drawn(2, 0.5, 8), "mlp": nets.fit(ring.where("appid < 99"), 3, hidden=(3,), max_epochs=1)}
+    saved = B.Bundle(stages, Schema(features, {"price": 2.5, "kind": "x", "tag_a": 0.0}, ("tag_b",)))
+    B.save_bundle(spark, saved, f"{tmp_path}/b")
+    again = B.load_bundle(spark, f"{tmp_path}/b")
+    assert again.schema == saved.schema and list(again.stages) == list(stages)
+    for name, df in (("pre", items), ("fourier", ring), ("mlp", ring)):
+        assert sorted(map(str, stages[name].transform(df).collect())) == sorted(map(str, again.stages[name].transform(df).collect()))
+    with pytest.raises(FileNotFoundError):
+        B.load_bundle(spark, f"{tmp_path}/none")
+    missing = B.read_reports(spark, f"{tmp_path}/none", {"metrics": "modelo string"})
+    assert missing["metrics"].count() == 0
