@@ -5,10 +5,13 @@ name one page by a redirect (meta refresh) or a canonical link are aliases: conn
 no rule fits is blocked if a rule blocks one of its aliases and none is explicitly allowed; else it is allowed. A rule's own
 verdict on a url always stands.
 
+Every canonical link and every refresh of a page counts; ``canonical`` may be any word of the tag's rel. A tag ends at its first
+``>``, and a tag's first href counts.
+
 All work is joins and aggregates of columns. Rules meet hosts by an equality join on the host's suffixes.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and has no aliases; null html has no
-links; links to other schemes (``mailto:`` and the like) and empty ones are left out; dots in relative links are kept as they
+links; links to other schemes (``mailto:`` and the like) and empty ones are left out, as are tags without an href; long pages are read whole; dots in relative links are kept as they
 are; repeated rows get the same verdict; of rules of one length the one that sorts first decides.
 """
 
@@ -23,9 +26,10 @@ from shelfwise.llm.components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)([^#]*)"
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""
+LINK, META = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
+CANONICAL = r"""(?is)[\s"'/]rel\s*=\s*(?:canonical\b|"([^">]*\s)?canonical(\s[^">]*)?"|'([^'>]*\s)?canonical(\s[^'>]*)?')"""
+REFRESH = r"""(?is)[\s"'/]http-equiv\s*=\s*["']?\s*refresh\b"""
+HREF = r"""(?is)[\s"'/]href\s*=\s*["']?([^"'>\s]+)"""
 REFRESH_URL = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
 
 
@@ -62,11 +66,16 @@ def resolved(base: Column, link: Column) -> Column:
             .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), link)))
 
 
+def _targets(html: Column, tag: str, kind: str, target: str) -> Column:
+    """What every tag of a kind names; empty text for a tag that names nothing."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(kind))
+    return F.transform(tags, lambda t: F.regexp_extract(t, target, 1))
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): a page's node and the node of its canonical link or refresh, where they differ."""
+    """(a, b): a page's node and the nodes of all its canonical links and refreshes, where they differ."""
     u, h = F.col(url), F.col(html)
-    targets = F.array(F.regexp_extract(F.regexp_extract(h, CANONICAL, 0), HREF, 1),
-                      F.regexp_extract(F.regexp_extract(h, REFRESH, 0), REFRESH_URL, 1))
+    targets = F.concat(_targets(h, LINK, CANONICAL, HREF), _targets(h, META, REFRESH, REFRESH_URL))
     found = pages.where(h.rlike("(?i)canonical|refresh") & F.contains(u, F.lit("://"))).select(u.alias("url"), F.explode(targets).alias("t"))
     return found.select(node_of(F.col("url")).alias("a"), node_of(resolved(F.col("url"), F.col("t"))).alias("b")).where("a != b")
 

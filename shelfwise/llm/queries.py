@@ -70,10 +70,13 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
         coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 3, 's'), '') AS path,
         coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)([^#]*)', 4, 's'), '') AS q FROM pages),
     own AS (SELECT *, CASE WHEN contains(url, '://') THEN lower(s) || '://' || host || path || q END AS node FROM parts),
-    tags AS (SELECT *, unnest([
-        regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?([^"''>\s]+)', 1, 'is'),
-        regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*["'']?([^"''>\s]+)', 1, 'is')])
-        AS raw FROM own WHERE node IS NOT NULL),
+    links AS (SELECT node, s, host, path, url, unnest(regexp_extract_all(html, '<link\b[^>]*>', 0, 'is')) AS tag FROM own WHERE node IS NOT NULL),
+    metas AS (SELECT node, s, host, path, url, unnest(regexp_extract_all(html, '<meta\b[^>]*>', 0, 'is')) AS tag FROM own WHERE node IS NOT NULL),
+    rels AS (SELECT *, regexp_extract(tag, '[\s"''/]rel\s*=\s*("[^">]*"|''[^''>]*''|[^"''>\s]+)', 1, 'is') AS rel FROM links),
+    tags AS (SELECT node, s, host, path, url, regexp_extract(tag, '[\s"''/]href\s*=\s*["'']?([^"''>\s]+)', 1, 'is') AS raw FROM rels
+        WHERE list_contains(string_split_regex(lower(regexp_replace(rel, '["'']', '', 'g')), '\s+'), 'canonical')
+        UNION ALL SELECT node, s, host, path, url, regexp_extract(tag, '\burl\s*=\s*["'']?([^"''>\s]+)', 1, 'is') FROM metas
+        WHERE regexp_matches(tag, '[\s"''/]http-equiv\s*=\s*["'']?\s*refresh\b', 'is')),
     targets AS (SELECT node, s, host, path, url, replace(raw, '&amp;', '&') AS t FROM tags WHERE raw != ''),
     linked AS (SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
         WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN t LIKE '//%' THEN s || ':' || t

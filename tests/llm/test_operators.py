@@ -3,12 +3,13 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import aliases, components, curves, langid, packing, phrases, quality, simhash, similar, suffixes, warc, windows
+from shelfwise.llm import aliases, components, curves, langid, packing, phrases, quality, queries, simhash, similar, suffixes, warc, windows
 from shelfwise.session import scratch_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, tag string, fp long, root long"
@@ -204,6 +205,27 @@ def test_url_aliases(spark):
     assert aliases.judge(df, rules.limit(0)).where("verdict = 'allow' AND rule IS NULL").count() == len(pages)
 
 
+def test_all_tags_of_a_page_count(spark):
+    cases = [
+        ('<link rel=canonical><link rel="canonical" href="http://evil.com/z">', "block"),
+        ("<LINK href='http://evil.com/z' REL='nofollow\nCanonical'>", "block"),
+        ('<link rel="canonical" href="/here"><p><link rel="x canonical y" href="http://evil.com/z">', "block"),
+        ('<meta http-equiv=refresh content="5"><meta http-equiv=" refresh" content="0;url=http://evil.com/z">', "block"),
+        ("x" * 300_000 + '<link rel=canonical href=http://evil.com/z>', "block"),
+        ('<link rel="canonicals" href="http://evil.com/z"><link rel="not-canonical" href="http://evil.com/z">', "allow"),
+        ('<link rel="canonical" data-href="http://evil.com/z"><link data-rel="canonical" href="http://evil.com/z">', "allow"),
+        ('<link rel="icon" title="canonical" href="http://evil.com/z"><a rel="canonical" href="http://evil.com/z">', "allow")]
+    rules = aliases.rule_table(spark, [("evil.com", "/", "block")])
+    pages = spark.createDataFrame([(i, f"http://a{i}.net/1", h.replace("/z", f"/{i}")) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
+    want = {i: v for i, (_, v) in enumerate(cases)}
+    assert {r.page_id: r.verdict for r in aliases.judge(pages, rules).collect()} == want
+    # The twin follows the rule, not the operator.
+    db = duckdb.connect()
+    db.register("rows", pages.toPandas())
+    db.execute("CREATE VIEW pages AS SELECT page_id, url, replace(html, 'evil.com/', 'x.com/de/') AS html FROM rows")
+    assert dict(db.sql(f"SELECT page_id, verdict FROM ({queries.SQL['op8_url_aliases']})").fetchall()) == want
+
+
 def test_components(spark):
     rng = random.Random(3)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(30)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(90)] + [(5, 5), (None, 1)]
