@@ -19,7 +19,7 @@ from shelfwise.operators import metrics, nets
 from shelfwise.operators.filters import columns_with_prefix
 from shelfwise.operators.ordered import fold_of
 from shelfwise.operators.profile import kept_columns, numeric_columns
-from shelfwise.operators.stages import FourierMap, ReluNetModel
+from shelfwise.operators.stages import FourierMap, KernelMachineModel, ReluNetModel
 
 
 @dataclass(frozen=True)
@@ -141,7 +141,7 @@ def apply_classifiers(models: dict, df: DataFrame, names: Sequence[str] = MODELS
 
 def convergence(model) -> tuple[int | None, bool | None]:
     """Iterations that a fitted classifier took, and whether it stopped before its limit; unknown for a loaded model."""
-    if isinstance(model, ReluNetModel):
+    if isinstance(model, (ReluNetModel, KernelMachineModel)):
         return model.getOrDefault(model.iterations), model.getOrDefault(model.stopped)
     if not model.hasSummary:
         return None, None

@@ -29,6 +29,22 @@ def _map_vectors(df: DataFrame, col: str, out: str, fn: Callable[[np.ndarray], n
     return df.withColumn(out, array_to_vector(apply(vector_to_array(col))))
 
 
+def scale_gamma(df: DataFrame, col: str = "features") -> tuple[int, float]:
+    """Dimensions, and 1 / (dimensions * variance of all entries); 1 where nothing varies."""
+    v = vector_to_array(col)
+    per = df.select(F.size(v).alias("d"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("s"),
+                    F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x).alias("q"))
+    r = per.agg(F.max("d").alias("d"), F.sum("d").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
+    var = r["q"] / r["n"] - (r["s"] / r["n"]) ** 2 if r["n"] else 0.0
+    return r["d"] or 0, 1.0 / (r["d"] * var) if var > 0 else 1.0
+
+
+def rbf_kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    """RBF kernel plus one, which stands for the intercept."""
+    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2.0 * a @ b.T
+    return np.exp(-gamma * np.maximum(d, 0.0)) + 1.0
+
+
 class FourierMap(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """M6: random Fourier features of the RBF kernel (Rahimi and Recht, 2007).
 
@@ -55,12 +71,8 @@ class FourierMap(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     @classmethod
     def fit(cls, df: DataFrame, n: int = 256, seed: int = 42) -> FourierMap:
         """gamma is 1 / (dimensions * variance of all entries)."""
-        v = vector_to_array("features")
-        per = df.select(F.size(v).alias("d"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("s"),
-                        F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x).alias("q"))
-        r = per.agg(F.max("d").alias("d"), F.sum("d").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
-        var = r["q"] / r["n"] - (r["s"] / r["n"]) ** 2
-        return cls.drawn(r["d"], 1.0 / (r["d"] * var) if var > 0 else 1.0, n, seed)
+        width, gamma = scale_gamma(df)
+        return cls.drawn(width, gamma, n, seed)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         b = np.array(self.getOrDefault(self.shift))
@@ -91,3 +103,55 @@ class ReluNetModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         out = _map_vectors(dataset, "features", f"prob_{name}", lambda x: probabilities(net, x))
         probs = vector_to_array(f"prob_{name}")
         return out.withColumn(f"pred_{name}", (F.array_position(probs, F.array_max(probs)) - 1).cast("double"))
+
+
+class KernelMachineModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """M6: a fitted kernel machine with a joint sigmoid for its classes; see ``kernels.fit``."""
+
+    vectors = _param("vectors", "support vectors, row by row", TypeConverters.toListFloat)
+    coefs = _param("coefs", "weight of each vector for each class, row by row", TypeConverters.toListFloat)
+    classes = _param("classes", "number of classes", TypeConverters.toInt)
+    gamma = _param("gamma", "width of the kernel", TypeConverters.toFloat)
+    slopes = _param("slopes", "weights of the decisions in the log odds of each class, row by row", TypeConverters.toListFloat)
+    offsets = _param("offsets", "offset of each class's log odds", TypeConverters.toListFloat)
+    name = _param("name", "suffix of the output columns pred_ and prob_", TypeConverters.toString)
+    residual = _param("residual", "worst violation of the optimality conditions over the fitted rows", TypeConverters.toFloat)
+    groups = _param("groups", "machines whose mean decides", TypeConverters.toInt)
+    iterations = _param("iterations", "levels of the cascade", TypeConverters.toInt)
+    stopped = _param("stopped", "whether no row violates by more than the tolerance", TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, *, vectors=None, coefs=None, classes=None, gamma=None, slopes=None, offsets=None, name=None, residual=None,
+                 groups=None, iterations=None, stopped=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    @staticmethod
+    def decide(x: np.ndarray, vectors: np.ndarray, coef: np.ndarray, gamma: float) -> np.ndarray:
+        """Decisions (rows, classes), a few rows at a time so that a piece of the kernel matrix takes at most 32 MB."""
+        step = max(1, (1 << 22) // max(1, len(vectors)))
+        return np.concatenate([rbf_kernel(x[a:a + step], vectors, gamma) @ coef for a in range(0, len(x), step)] or [np.zeros((0, coef.shape[1]))])
+
+    def _machine(self):
+        coef = np.array(self.getOrDefault(self.coefs)).reshape(-1, self.getOrDefault(self.classes))
+        vectors = np.array(self.getOrDefault(self.vectors)).reshape(len(coef), -1) if len(coef) else None
+        gamma, decide = self.getOrDefault(self.gamma), self.decide
+        return lambda x: decide(x, vectors, coef, gamma) if vectors is not None else np.zeros((len(x), coef.shape[1]))
+
+    def decisions(self, dataset: DataFrame, out: str) -> DataFrame:
+        """``out`` is the array of the classes' decisions."""
+        return _map_vectors(dataset, "features", out, self._machine()).withColumn(out, vector_to_array(out))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        name, machine = self.getOrDefault(self.name), self._machine()
+        offsets = np.array(self.getOrDefault(self.offsets))
+        slopes = np.array(self.getOrDefault(self.slopes)).reshape(len(offsets), -1)
+
+        def probabilities(x: np.ndarray) -> np.ndarray:
+            z = machine(x) @ slopes.T + offsets
+            e = np.exp(z - z.max(axis=1, keepdims=True))
+            return e / e.sum(axis=1, keepdims=True)
+
+        out = _map_vectors(dataset, "features", f"prob_{name}", probabilities)
+        probs = vector_to_array(f"prob_{name}")
+        return out.withColumn(f"pred_{name}", (F.array_position(probs, F.array_max(probs)) - 1).cast("double"))

@@ -73,6 +73,14 @@ def m6(spark, sf):
     return _model_metrics(spark, sf, "svm")
 
 
+@query("m6_kernel_machine")
+def m6_machine(spark, sf):
+    t, model = T.trained(spark, sf), T.kernel_machine(spark, sf)
+    scored = M.apply_classifiers({"kernel": model}, t.test, ["kernel"])
+    return M.compare_models(scored, 3, ["kernel"], {"kernel": model}).withColumns(
+        {"kkt_residual": round_to(F.lit(model.getOrDefault("residual")), 6), "groups": F.lit(model.getOrDefault("groups"))})
+
+
 @query("m7_perceptron")
 def m7(spark, sf):
     return _model_metrics(spark, sf, "mlp")
@@ -260,18 +268,19 @@ def m17_support(spark, sf):
 def _fit_facts(spark, sf, name):
     """What must hold of a fitted classifier on the held-out rows."""
     t = T.trained(spark, sf)
-    scored = M.apply_classifiers(t.models, t.test, [name])
+    models = {"kernel": T.kernel_machine(spark, sf)} if name == "kernel" else t.models
+    scored = M.apply_classifiers(models, t.test, [name])
     probs, pred = F.col(f"probs_{name}"), F.col(f"pred_{name}")
     total = F.aggregate(probs, F.lit(0.0), lambda a, p: a + p)
     counts = [F.count_if(F.col("label") == k) for k in range(3)]
     return scored.agg(
         F.count(F.lit(1)).alias("n_test"), F.greatest(*counts).alias("n_majority"), F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_to_one"),
-        F.count_if(F.element_at(probs, (pred + 1).cast("int")) == F.array_max(probs)).alias("n_argmax")).withColumn("converged", F.lit(bool(M.convergence(t.models[name])[1])))
+        F.count_if(F.element_at(probs, (pred + 1).cast("int")) == F.array_max(probs)).alias("n_argmax")).withColumn("converged", F.lit(bool(M.convergence(models[name])[1])))
 
 
 _FACTS_SQL = f"WITH {_TEST_SQL}, s AS (SELECT CAST(sum(n) AS BIGINT) AS n, max(n) AS m FROM c) " \
     "SELECT n AS n_test, m AS n_majority, n AS n_sum_to_one, n AS n_argmax, true AS converged FROM s"
-for _id, _model in (("m5_logistic", "lr"), ("m6_kernel", "svm"), ("m7_relu_net", "mlp")):
+for _id, _model in (("m5_logistic", "lr"), ("m6_kernel", "svm"), ("m6_kernel_machine", "kernel"), ("m7_relu_net", "mlp")):
     query(f"{_id}_facts", _FACTS_SQL)(lambda spark, sf, m=_model: _fit_facts(spark, sf, m))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import vocab
 from shelfwise.functions.rounding import round_to
-from shelfwise.operators import filters as R, models as M, ordered as O, profile as PR
+from shelfwise.operators import filters as R, kernels, models as M, ordered as O, profile as PR
 from shelfwise.operators.scoring import Schema, Scorer
 from shelfwise.plans import catalogue as C
 from shelfwise.plans.data import stored, version
@@ -81,6 +81,16 @@ def trained(spark: SparkSession, sf: str) -> Trained:
     return _trained(version(spark, sf), sf)
 
 
+@lru_cache(maxsize=2)
+def _kernel_machine(key: tuple, sf: str):
+    return kernels.fit(trained(SparkSession.active(), sf).train, len(vocab.LABEL_NAMES))
+
+
+def kernel_machine(spark: SparkSession, sf: str):
+    """M6: the kernel machine, fitted on the training rows."""
+    return _kernel_machine(version(spark, sf), sf)
+
+
 @lru_cache(maxsize=2)
 def _served(key: tuple, sf: str) -> Served:
     spark = SparkSession.active()
