@@ -31,3 +31,24 @@ def test_a_model_is_fitted_when_asked_for(rings, monkeypatch):
         models["mlp"]
     with pytest.raises(KeyError):
         models["none"]
+
+
+def test_a_net_has_few_tasks_and_learns_from_pieces(rings, monkeypatch):
+    monkeypatch.setattr(nets, "TASK_ROWS", 100)
+    monkeypatch.setattr(nets, "TASKS", 3, raising=False)
+    assert nets.blocks(rings, "appid", 10).select("task").distinct().count() == 3
+    model = nets.fit(rings, 3, hidden=(16, 8), max_epochs=60, rate=0.01)
+    right = model.transform(rings).agg(F.avg((F.col("pred_mlp") == F.col("label")).cast("double"))).first()[0]
+    assert right > 0.9
+
+
+def test_a_walk_goes_over_every_piece():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(900, 4)), rng.integers(0, 3, 900)
+    flat = nets.first_weights([4, 5, 3], 1)
+    whole = nets.Walk(flat, [4, 5, 3], 7, 1e-3, 1e-4)
+    whole.over(x, y)
+    assert np.array_equal(whole.flat, nets.local_steps(flat, [4, 5, 3], x, y, 7, 1e-3, 1e-4))
+    steps = whole.t
+    whole.over(x[:500], y[:500])
+    assert (whole.rows, whole.t) == (1400, steps + 3)
