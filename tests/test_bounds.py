@@ -1,11 +1,12 @@
 """Work that is done only when asked for, and bounds of tasks on large tables."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators import models as M, nets
+from shelfwise.operators import models as M, neighbours as N, nets
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +53,10 @@ def test_a_walk_goes_over_every_piece():
     steps = whole.t
     whole.over(x[:500], y[:500])
     assert (whole.rows, whole.t) == (1400, steps + 3)
+
+
+def test_neighbours_take_few_queries_at_a_time():
+    pdf = pd.DataFrame({"id": range(1000)})
+    got = list(N.pieces(iter([pdf, pdf[:0]]), N.RING_PIECE // 2))
+    assert max(map(len, got)) == 2 and pd.concat(got).id.tolist() == list(range(1000))
+    assert [len(p) for p in N.pieces(iter([pdf]), 10 * N.RING_PIECE)] == [1] * 1000
