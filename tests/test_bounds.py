@@ -6,7 +6,8 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators import models as M, neighbours as N, nets
+from shelfwise.operators import models as M, neighbours as N, nets, scoring as Z
+from tests.test_operators import _toy, _toy_scorer
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +61,12 @@ def test_neighbours_take_few_queries_at_a_time():
     got = list(N.pieces(iter([pdf, pdf[:0]]), N.RING_PIECE // 2))
     assert max(map(len, got)) == 2 and pd.concat(got).id.tolist() == list(range(1000))
     assert [len(p) for p in N.pieces(iter([pdf]), 10 * N.RING_PIECE)] == [1] * 1000
+
+
+def test_a_package_round_shuffles_states_and_not_moves(spark):
+    rows = [(i, float(i % 60), i % 20, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, price double, supported_languages int, tag_a int")
+    found = Z.best_package(Z.normalise(df, _toy(), "id").drop("raw_price"), _toy(), _toy_scorer, "id", rounds=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert found.count() == 300
