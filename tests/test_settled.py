@@ -1,10 +1,14 @@
 """Steps that all fitted models share: flags settled by counts, cuts found once, scores written once."""
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from shelfwise.operators import models as M, ordered as O, profile as PR
+from shelfwise.operators.stages import FourierMap
 
 ROWS = [(0, 1, 0, None, 7, None, 0.5), (1, 1, 1, 1, 7, None, 0.5), (0, 1, None, None, 8, None, 0.5), (1, 1, None, 1, 9, None, None)]
 SCHEMA = "both int, ones int, holes long, known short, many int, gone int, real double"
@@ -45,3 +49,22 @@ def test_a_fold_is_scored_once(spark):
     rows = spark.range(0, 120, 1, 2).select((F.col("id") % 3).cast("int").alias("label"), array_to_vector(scored("id")).alias("prob_lr"))
     assert 0 <= M.MacroAuc(3)._evaluate(rows) <= 1
     assert calls.value == 120
+
+
+def test_vectors_are_mapped_without_an_object_for_each_row(spark):
+    x = np.random.default_rng(3).normal(size=(40, 3)) * (np.arange(40)[:, None] % 3 > 0)
+    rows = [(i, Vectors.sparse(3, {}) if i % 3 == 0 else Vectors.dense(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    stage = FourierMap.drawn(3, 0.7, n=5)
+    out = stage.transform(df.repartition(7))
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in out._jdf.queryExecution().executedPlan().toString()
+    w, b = np.array(stage.getOrDefault("weights")).reshape(3, 5), np.array(stage.getOrDefault("shift"))
+    got = {r["id"]: r["fourier"].toArray() for r in out.collect()}
+    assert len(got) == 40 and all(np.allclose(got[i], np.sqrt(0.4) * np.cos(v @ w + b), rtol=0, atol=1e-12) for i, v in enumerate(x))
+    assert stage.transform(df.where("id < 0")).collect() == []
+
+
+def test_vectors_of_different_lengths_are_refused(spark):
+    mixed = spark.createDataFrame([(Vectors.dense(1.0, 2.0, 3.0),), (Vectors.dense(1.0, 2.0),), (Vectors.dense(1.0, 2.0, 3.0, 4.0),)], ["features"]).coalesce(1)
+    with pytest.raises(Exception, match="different lengths"):
+        FourierMap.drawn(3, 0.7, n=5).transform(mixed).collect()
