@@ -1,11 +1,13 @@
 """The fit on Fourier features that are not stored: the same model as Spark's, its steps, and how it is written."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
 
-from shelfwise.operators import blocks, linear, models as M
+from shelfwise.operators import blocks, linear, models as M, nets
 
 
 def _rows(spark, x, y):
@@ -61,6 +63,21 @@ def test_the_solver_ends_where_the_slope_is_level():
     assert linear.minimise(loss, np.zeros(12), 2, 1e-9)[1] == 2
 
 
+def test_no_reader_of_a_net_s_rows_holds_many_blocks(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(blocks, "written", lambda df, purpose, was=blocks.written: written.append(was(df, purpose)) or written[-1])
+    rows = spark.range(90_000).select(F.col("id").alias("appid"), array_to_vector(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.rand(5) + i)).alias("features"),
+                                      (F.col("id") % 3).cast("int").alias("label"))
+    data = nets.blocks(rows, "appid", 10)
+    assert data.agg(F.sum("n")).first()[0] == 90_000 and len(written) == 1
+    groups = [pq.read_metadata(f.removeprefix("file://")) for f in data.inputFiles()]
+    sizes = [m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)]
+    assert sum(sizes) > 30e6 and max(sizes) < 25e6
+    got = data.where("NOT held").first()
+    x = blocks.opened(bytes(got.x), got.n, 64)
+    assert x.shape == (got.n, 64) and (np.floor(x) == np.arange(1, 65)).all()
+
+
 def test_blocks_open_as_they_were():
     x = np.arange(30.0).reshape(10, 3)
     assert (blocks.opened(blocks.squeezed(x), 10, 3) == x).all()
